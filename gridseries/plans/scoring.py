@@ -39,7 +39,7 @@ class AnomalyModel:
             inputCols=list(names.values()), outputCol="_features", handleInvalid="keep").transform(frame)
         for target, regressor in self.regressors.items():
             frame = regressor.transform(frame).withColumn(
-                f"{target}_predicted", F.when("_complete", F.col(f"_{target}")).cast("double")).drop(f"_{target}")
+                f"{target}_predicted", F.when(F.col("_complete"), F.col(f"_{target}")).cast("double")).drop(f"_{target}")
         return frame.drop(*names.values(), "_features", "_complete")
 
     def save(self, spark, folder: str) -> None:

@@ -45,6 +45,13 @@ RESPONSE = T.StructType([
     ])),
 ])
 
+# Responses packed as JSON lines: thousands per file instead of one small file each.
+PACKED_RESPONSE = T.StructType([
+    T.StructField("location_id", T.LongType()),
+    T.StructField("request", T.StringType()),
+    *RESPONSE.fields,
+])
+
 CLIMATE = T.StructType(
     [T.StructField(c, T.DoubleType()) for c in sorted(PARAMETERS)]
     + [

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridseries.functions.columns import is_annual, parse_period
 from gridseries.operators.joins import lookup_join
-from gridseries.schemas import PARAMETERS, RESPONSE, WINDOW_PARAMETERS
+from gridseries.schemas import PACKED_RESPONSE, PARAMETERS, RESPONSE, WINDOW_PARAMETERS
 
 FILE_NAME = r"{kind}_(\d+)_\d+_\d+\.json$"
 
@@ -22,6 +22,14 @@ def read_landing(spark: SparkSession, path: str, kind: str = "temporal_monthly")
     return identify(files, kind)
 
 
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """Responses that the downloader packed as JSON lines, each with its ``location_id`` and ``request``.
+
+    The form to prefer for many locations: lines split and pack into full tasks, single files do not.
+    """
+    return spark.read.schema(PACKED_RESPONSE).json(path)
+
+
 def identify(files: DataFrame, kind: str = "temporal_monthly") -> DataFrame:
     name = F.col("_metadata.file_name")
     number = F.regexp_extract(name, FILE_NAME.format(kind=kind), 1)

@@ -9,19 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridseries.plans.scoring import alerts, score_windows
-from gridseries.schemas import RESPONSE
+from gridseries.schemas import PACKED_RESPONSE, RESPONSE
 from gridseries.sources.responses import identify, window_rows
 
 REQUEST = ["location_id", "request"]
 
 
 def read_landing_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 10_000,
-                        kind: str = "temporal_monthly") -> DataFrame:
-    """New files of the landing folder; the limit bounds what one trigger takes, the rest waits."""
-    reader = spark.readStream.schema(RESPONSE).option("multiLine", True)
+                        packed: bool = False) -> DataFrame:
+    """New files of the landing folder; the limit bounds what one trigger takes, the rest waits.
+
+    ``packed`` files hold JSON lines with ``location_id`` and ``request``; others hold one response each.
+    """
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return identify(reader.json(path), kind)
+    if packed:
+        return reader.schema(PACKED_RESPONSE).json(path)
+    return identify(reader.schema(RESPONSE).option("multiLine", True).json(path))
 
 
 def score_batch(responses: DataFrame, predict: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -32,7 +37,7 @@ def score_batch(responses: DataFrame, predict: Callable[[DataFrame], DataFrame])
 def start_scoring(spark: SparkSession, landing: str, output: str, checkpoint: str,
                   predict: Callable[[DataFrame], DataFrame], alert_output: str | None = None,
                   alert_threshold: float = 0.5, files_per_trigger: int | None = 10_000,
-                  once: bool = True) -> StreamingQuery:
+                  packed: bool = False, once: bool = True) -> StreamingQuery:
     """Start the query. Each batch overwrites its own folder, so a replayed batch changes nothing.
 
     ``once`` takes what has landed and ends; otherwise the query runs on.
@@ -46,7 +51,7 @@ def start_scoring(spark: SparkSession, landing: str, output: str, checkpoint: st
                 f"{alert_output}/batch_id={batch_id}")
 
     writer = (
-        read_landing_stream(spark, landing, files_per_trigger).writeStream
+        read_landing_stream(spark, landing, files_per_trigger, packed).writeStream
         .foreachBatch(write).option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
