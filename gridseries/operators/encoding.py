@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridseries.operators.joins import lookup_join
 from gridseries.operators.ordered import BLOCK_ROWS, add_positions
 from gridseries.schemas import NOT_ENCODED, text_columns
+from gridseries.session import materialize
 
 # Up to this many categories of a column become a constant in the plan; more are joined.
 LITERAL_CATEGORIES = 1000
@@ -35,6 +36,8 @@ def fit_categories(df: DataFrame, columns: list[str] | None = None, null_token:
     distinct = (
         df.select(entries.alias("e")).select("e.*").where(F.col("category").isNotNull()).distinct()
     )
+    # Stored once: the positions read it again, and computing it scans the whole table.
+    distinct = materialize(distinct, "distinct-categories")
     numbered = add_positions(distinct, "_row", ["column"], ["category"], block_rows)
     return numbered.select("column", "category", (F.col("_row") - 1).alias("code"))
 

@@ -82,19 +82,20 @@ def deviation_from_mean(df: DataFrame, keys: list[str], columns: list[str] | Non
     """
     chosen = columns or [t.removesuffix("_anom") for t in TARGETS]
     means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in chosen])
-    joined = salted_join(df, means, keys)
+    joined = salted_join(df, means, keys, spread_by=chosen)
     return (
         joined.withColumns({f"{c}_anom": F.col(c) - F.col(f"_mean_{c}") for c in chosen})
         .drop(*[f"_mean_{c}" for c in chosen])
     )
 
 
-def relative_year_norm(df: DataFrame, keys: list[str], year: str = "year") -> DataFrame:
+def relative_year_norm(df: DataFrame, keys: list[str], year: str = "year",
+                       spread_by: list[str] | None = None) -> DataFrame:
     """Min-max position of the year inside its request."""
     ends = df.groupBy(*keys).agg(F.min(year).alias("_first"), F.max(year).alias("_last"))
     span = F.col("_last") - F.col("_first") + F.lit(1e-8)
     return (
-        salted_join(df, ends, keys)
+        salted_join(df, ends, keys, spread_by=spread_by or [year])
         .withColumn("year_norm", (F.col(year) - F.col("_first")) / span)
         .drop("_first", "_last")
     )

@@ -27,8 +27,11 @@ def fits_broadcast(dim: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured["rows"] * fixed + measured["text"] <= limit
 
 
-def spread(columns: list[str], salts: int = SALTS) -> Column:
-    """A salt that also separates equal rows; the same again when a lost task is rerun."""
+def spread(fact: DataFrame, spread_by: list[str] | None = None, salts: int = SALTS) -> Column:
+    """A salt from the row's content and its partition: it also separates equal rows that were read
+    by different tasks, and is the same again when a lost task is rerun (a row counter would not be)."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    columns = spread_by or [f.name for f in fact.schema if not isinstance(f.dataType, nested)]
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
 
 
@@ -41,15 +44,17 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
-                salts: int = SALTS) -> DataFrame:
+                spread_by: list[str] | None = None, salts: int = SALTS) -> DataFrame:
     """Shuffle join in which the rows of one hot key go to ``salts`` tasks.
 
+    ``spread_by`` names columns that vary within a key; naming few keeps the others out of the scan.
+
     For lookup tables that are computed from the fact, where measuring first would compute them twice:
     adaptive execution still turns this into a broadcast when the shuffled size turns out small.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"only left and inner joins can salt the fact: {how}")
-    salted = fact.withColumn(_SALT, spread(fact.columns, salts))
+    salted = fact.withColumn(_SALT, spread(fact, spread_by, salts))
     copies = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, on + [_SALT], how).drop(_SALT)
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridseries.functions.columns import as_number
+from gridseries.functions.columns import order_numbers
 
 BLOCK_ROWS = 2_000_000
 # Bounds on what reaches the driver and is broadcast: at most MAX_HOT groups are cut (the next largest
@@ -77,8 +77,9 @@ class Ranges:
 
 def split_hot(df: DataFrame, keys: list[str], order: list[str],
               block_rows: int | None = BLOCK_ROWS) -> Ranges:
-    """Number the order ranges of hot groups, by the first order column and, inside a range that one
-    value fills, by the next ones."""
+    """Number the order ranges of hot groups: even numbers for the open ranges between cut points, odd
+    ones for single values (and -1 for NULL). A single value that is still hot is cut by the next order
+    column, and so on."""
     types = {f.name: f.dataType for f in df.schema}
     missing = [c for c in keys + order if c not in types]
     if missing:
@@ -87,24 +88,22 @@ def split_hot(df: DataFrame, keys: list[str], order: list[str],
     if block_rows is None:
         return Ranges(df, keys, order, blocks)
     limit = block_rows
-    for depth, column in enumerate(order):
-        number = as_number(column, types[column])
-        if number is None:
-            break
+    for depth, number in enumerate(_numbers(order, types)):
         groups = keys + blocks
-        hot = _hot_groups(df, groups, limit)
+        candidates = df.where(F.pmod(blocks[-1], F.lit(2)) == 1) if blocks else df
+        hot = _hot_groups(candidates, groups, limit)
         if not hot:
             break
-        cuts = _cut_points(df, groups, number, hot, limit, types)
+        cuts = _cut_points(candidates, groups, number, hot, limit, types)
         block = f"_block{depth}"
-        matched = _with_cuts(df, groups, cuts)
+        is_cut = F.col("_cuts").isNotNull()
         below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_number")))
+        single = F.array_contains("_cuts", F.col("_number")).cast("int")
+        place = F.when(F.col("_number").isNull(), F.lit(-1)).otherwise(2 * below + single)
         df = (
-            matched.withColumn("_number", number)
-            .withColumn(block, F.when(F.col("_cuts").isNotNull() & F.col("_number").isNotNull(), below)
-                        .otherwise(F.lit(0)))
-            .withColumn(_HOT, F.col("_cuts").isNotNull() if not blocks
-                        else F.col(_HOT) | F.col("_cuts").isNotNull())
+            _with_cuts(df, groups, cuts).withColumn("_number", number)
+            .withColumn(block, F.when(is_cut, place).otherwise(F.lit(0)))
+            .withColumn(_HOT, F.col(_HOT) | is_cut if blocks else is_cut)
             .drop("_cuts", "_number")
         )
         blocks = blocks + [block]
@@ -113,6 +112,17 @@ def split_hot(df: DataFrame, keys: list[str], order: list[str],
     return Ranges(df, keys, order, blocks)
 
 
+def _numbers(order: list[str], types: dict[str, T.DataType]) -> list[Column]:
+    """The numbers of the order columns one after the other, up to one that does not tell values apart."""
+    found: list[Column] = []
+    for column in order:
+        numbers, exact = order_numbers(column, types[column])
+        found += numbers
+        if not exact:
+            break
+    return found
+
+
 def _hot_groups(df: DataFrame, groups: list[str], limit: int) -> list:
     counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
     return counts.orderBy(F.desc("_n")).limit(MAX_HOT).collect()

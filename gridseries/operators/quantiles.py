@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 250_000
 GATHER_ROWS = 10_000
 ACCURACY = 10_000
 _MARGIN = 2.0 / ACCURACY

@@ -107,7 +107,7 @@ def manifest_window(spark, folder):
 
 @query
 def json_unpivot(spark, folder):
-    return responses.monthly_rows(responses.parse_text(views.responses(spark, folder), "response"))
+    return responses.monthly_rows(responses.parse_text(views.responses(spark, folder), "response")).drop("request")
 
 
 @query

@@ -50,7 +50,9 @@ def read_baseline_input(spark: SparkSession, paths: list[str], schema: T.StructT
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        timestampFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
