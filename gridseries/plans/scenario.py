@@ -44,7 +44,7 @@ def assert_ranges(requests: DataFrame) -> DataFrame:
     The check sits in the value of ``latitude`` so that column pruning cannot remove it.
     """
     checked = check_ranges(requests)
-    guarded = F.when(F.col("valid"), F.col("latitude")).otherwise(F.raise_error("reason").cast("double"))
+    guarded = F.when(F.col("valid"), F.col("latitude")).otherwise(F.raise_error(F.col("reason")).cast("double"))
     return checked.withColumn("latitude", guarded).drop("valid", "reason")
 
 

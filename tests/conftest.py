@@ -11,7 +11,7 @@ from gridseries.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]", 8, spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+        "tests", "local[8]", 4, spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
