@@ -8,7 +8,7 @@ distance itself and prune only what is strictly farther, so the result is exact,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridseries.operators.joins import salted_join
@@ -16,7 +16,20 @@ from gridseries.operators.joins import salted_join
 # Cell edges in hundredths of a degree, fine to coarse.
 EDGES = (16, 256, 4096)
 
-_Q = ["_lat", "_lon", "_month"]
+# The point of a request and its key. The key is text, which spells every double apart and, unlike the
+# doubles themselves, keeps one hash partitioning through all steps.
+_POINT = ["_lat", "_lon", "_month"]
+_KEY = "_key"
+
+
+def _keyed(requests: DataFrame) -> DataFrame:
+    point = {
+        "_lat": F.col("latitude").cast("double"),
+        "_lon": F.col("longitude").cast("double"),
+        "_month": F.col("month").cast("int"),
+    }
+    return requests.withColumns(point).withColumn(
+        _KEY, F.concat(*[c for p in _POINT for c in (F.col(p).cast("string"), F.lit("|"))]))
 
 
 def nearest_baseline(requests: DataFrame, baselines: DataFrame) -> DataFrame:
@@ -25,26 +38,17 @@ def nearest_baseline(requests: DataFrame, baselines: DataFrame) -> DataFrame:
     Requests need ``latitude, longitude, month``. Of equally near points the one with the smaller
     (lat, lon) wins; a month without baselines gives NULLs.
     """
-    asked = requests.select(
-        F.col("latitude").cast("double").alias("_lat"),
-        F.col("longitude").cast("double").alias("_lon"),
-        F.col("month").cast("int").alias("_month"),
-    ).dropna().distinct()
+    keyed = _keyed(requests)
+    asked = (
+        keyed.where(F.col(_KEY).isNotNull()).groupBy(_KEY)
+        .agg(*[F.min(p).alias(p) for p in _POINT])
+    )
     found = _search(asked, _pyramid(baselines))
     values = baselines.select(
         F.col("lat_rounded").alias("nearest_lat"), F.col("lon_rounded").alias("nearest_lon"),
         F.col("month").cast("int").alias("_month"), "baseline_temp", "baseline_precip")
-    found = salted_join(found, values, ["nearest_lat", "nearest_lon", "_month"], "inner")
-    return (
-        salted_join(
-            requests.withColumns({
-                "_lat": F.col("latitude").cast("double"),
-                "_lon": F.col("longitude").cast("double"),
-                "_month": F.col("month").cast("int"),
-            }),
-            found, _Q)
-        .drop(*_Q)
-    )
+    found = salted_join(found, values, ["nearest_lat", "nearest_lon", "_month"], "inner", spread_by=[_KEY])
+    return salted_join(keyed.drop(*_POINT), found.drop("_month"), [_KEY]).drop(_KEY)
 
 
 def _pyramid(baselines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -86,33 +90,46 @@ def _pyramid(baselines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def _search(asked: DataFrame, pyramid: tuple[DataFrame, list[DataFrame]]) -> DataFrame:
+    """Walk down with ``_reach``, a distance within which each request surely has a point.
+
+    Boxes beyond the reach go before any shuffle; the boxes that are left shorten the reach.
+    """
     roots, levels = pyramid
-    # Twelve months of some fifty coarse cells.
-    open_cells = asked.join(F.broadcast(roots), "_month")
+    per_request = Window.partitionBy(_KEY)
+    carried = [_KEY, *_POINT, "_reach"]
+    # Twelve months of some fifty coarse cells. The first reach is a grouped minimum that stays in the
+    # partitions of the requests, so no box is sorted or shuffled for it.
+    coarse = asked.join(F.broadcast(roots), "_month").withColumn("box", F.explode("children"))
+    first_reach = coarse.groupBy(_KEY).agg(F.min(_surely_within(F.col("box"))).alias("_reach"))
+    boxes = (
+        asked.join(first_reach, _KEY).join(F.broadcast(roots), "_month")
+        .select(*carried, F.explode("children").alias("box"))
+        .where(_at_least(F.col("box")) <= F.col("_reach"))
+    )
     for depth, level in enumerate(levels):
-        open_cells = (
-            open_cells.withColumn("_reach", F.array_min(F.transform("children", _surely_within)))
-            .select(*_Q, F.explode(F.filter("children", lambda box: _at_least(box) <= F.col("_reach"))).alias("box"))
-            .select(*_Q, F.col("box.cell").alias("cell"))
-        )
+        cells = boxes.select(*carried, F.col("box.cell").alias("cell"))
         if depth == 0:
             # At most twelve times fifty cells of 256 boxes of about 50 bytes.
-            joined = open_cells.join(F.broadcast(level), ["_month", "cell"])
+            joined = cells.join(F.broadcast(level), ["_month", "cell"])
         else:
-            joined = salted_join(open_cells, level, ["_month", "cell"], "inner")
+            joined = salted_join(cells, level, ["_month", "cell"], "inner", spread_by=[_KEY])
+        children = joined.select(*carried, F.explode("children").alias("box"))
         if depth < len(levels) - 1:
-            near = joined.withColumn("_reach", F.array_min(F.transform("children", _surely_within)))
-            open_cells = (
-                near.withColumn("children", F.filter("children", lambda box: _at_least(box) <= F.col("_reach")))
-                .groupBy(*_Q).agg(F.flatten(F.collect_list("children")).alias("children"))
+            near = children.where(_at_least(F.col("box")) <= F.col("_reach"))
+            shortest = F.min(_surely_within(F.col("box"))).over(per_request)
+            boxes = (
+                near.withColumn("_reach", F.least("_reach", shortest))
+                .where(_at_least(F.col("box")) <= F.col("_reach"))
             )
-        else:
-            best = F.array_min(F.transform("children", lambda p: F.struct(
-                _distance(F.col("_lat") - p["lat"], F.col("_lon") - p["lon"]).alias("distance"),
-                p["lat"].alias("lat"), p["lon"].alias("lon"))))
-            open_cells = joined.select(*_Q, best.alias("best")).groupBy(*_Q).agg(F.min("best").alias("best"))
-    return open_cells.select(
-        *_Q, F.col("best.lat").alias("nearest_lat"), F.col("best.lon").alias("nearest_lon"),
+    distance = _distance(F.col("_lat") - F.col("box.lat"), F.col("_lon") - F.col("box.lon"))
+    best = (
+        children.select(_KEY, "_month", "_reach", F.struct(
+            distance.alias("distance"), F.col("box.lat").alias("lat"), F.col("box.lon").alias("lon")).alias("point"))
+        .where(F.col("point.distance") <= F.col("_reach"))
+        .groupBy(_KEY).agg(F.min("point").alias("best"), F.min("_month").alias("_month"))
+    )
+    return best.select(
+        _KEY, "_month", F.col("best.lat").alias("nearest_lat"), F.col("best.lon").alias("nearest_lon"),
         F.col("best.distance").alias("distance"))
 
 
