@@ -50,11 +50,12 @@ class Ranges:
         return self._across().rowsBetween(Window.unboundedPreceding, -1)
 
     def later(self) -> WindowSpec:
-        return self._across().rowsBetween(1, Window.unboundedFollowing)
+        """Over the summary, in reverse: the ranges after this one, the nearest last."""
+        return self._across(reverse=True).rowsBetween(Window.unboundedPreceding, -1)
 
-    def _across(self) -> WindowSpec:
+    def _across(self, reverse: bool = False) -> WindowSpec:
         parts = [F.col(c) for c in self.keys] or [F.lit(0)]
-        return Window.partitionBy(*parts).orderBy(*self.blocks)
+        return Window.partitionBy(*parts).orderBy(*[F.desc(c) if reverse else F.asc(c) for c in self.blocks])
 
     def hot_rows(self) -> DataFrame:
         return self.df.where(F.col(_HOT))
@@ -97,14 +98,14 @@ def split_hot(df: DataFrame, keys: list[str], order: list[str],
         cuts = _cut_points(candidates, groups, number, hot, limit, types)
         block = f"_block{depth}"
         is_cut = F.col("_cuts").isNotNull()
-        below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_number")))
-        single = F.array_contains("_cuts", F.col("_number")).cast("int")
-        place = F.when(F.col("_number").isNull(), F.lit(-1)).otherwise(2 * below + single)
+        single = F.coalesce(F.get("_cuts", F.col("_below")) == F.col("_number"), F.lit(False)).cast("int")
+        place = F.when(F.col("_number").isNull(), F.lit(-1)).otherwise(2 * F.col("_below") + single)
         df = (
             _with_cuts(df, groups, cuts).withColumn("_number", number)
+            .withColumn("_below", _count_below(max(len(c) for *_, c in cuts)))
             .withColumn(block, F.when(is_cut, place).otherwise(F.lit(0)))
             .withColumn(_HOT, F.col(_HOT) | is_cut if blocks else is_cut)
-            .drop("_cuts", "_number")
+            .drop("_cuts", "_number", "_below")
         )
         blocks = blocks + [block]
         types[block] = T.IntegerType()
@@ -123,13 +124,20 @@ def _numbers(order: list[str], types: dict[str, T.DataType]) -> list[Column]:
     return found
 
 
+def _count_below(longest: int) -> Column:
+    """How many of the ascending ``_cuts`` are below ``_number``, by halving steps rather than one by one."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda found, step: found + F.when(
+        F.get("_cuts", found + step - 1) < F.col("_number"), step).otherwise(F.lit(0)))
+
+
 def _hot_groups(df: DataFrame, groups: list[str], limit: int) -> list:
     counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
     return counts.orderBy(F.desc("_n")).limit(MAX_HOT).collect()
 
 
-def _cut_points(df, groups, number, hot, limit, types) -> DataFrame:
-    """One row per hot group with its ascending cut points; collected, so that they stay the same."""
+def _cut_points(df, groups, number, hot, limit, types) -> list[tuple]:
+    """One entry per hot group with its ascending cut points; collected, so that they stay the same."""
     spark = df.sparkSession
     rows_per_block = max(limit, math.ceil(sum(r["_n"] for r in hot) / MAX_BLOCKS))
     pieces = [min(MAX_CUTS, math.ceil(r["_n"] / rows_per_block)) for r in hot]
@@ -158,16 +166,18 @@ def _cut_points(df, groups, number, hot, limit, types) -> DataFrame:
         pieces_here = wanted_pieces[group]
         picked = [every[round(i * finest / pieces_here) - 1] for i in range(1, pieces_here)] if every else []
         data.append(group + (sorted(set(picked)),))
-    schema = T.StructType(fields + [T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-    return spark.createDataFrame(data, schema)
+    return data
 
 
-def _with_cuts(df: DataFrame, groups: list[str], cuts: DataFrame) -> DataFrame:
+def _with_cuts(df: DataFrame, groups: list[str], cuts: list[tuple]) -> DataFrame:
     if not groups:
-        (only,) = cuts.collect()
-        return df.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in only["_cuts"]]).cast("array<double>"))
+        (values,) = cuts[0]
+        return df.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in values]).cast("array<double>"))
+    fields = [T.StructField(f"_k_{c}", df.schema[c].dataType) for c in groups]
+    schema = T.StructType(fields + [T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in groups])
-    return df.join(F.broadcast(cuts), match, "left").drop(*[f"_k_{c}" for c in groups])
+    table = df.sparkSession.createDataFrame(cuts, schema)
+    return df.join(F.broadcast(table), match, "left").drop(*[f"_k_{c}" for c in groups])
 
 
 def add_positions(df: DataFrame, name: str, keys: list[str], order: list[str],
@@ -253,15 +263,20 @@ def interpolate(df: DataFrame, columns: list[str], keys: list[str], order: list[
     ranges = split_hot(df, keys, order, block_rows)
     window = ranges.window()
     before = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     frame = ranges.df.withColumn("_rn", F.row_number().over(window).cast("long"))
     carried: list[str] = []
     if ranges.blocks:
         ranges = Ranges(frame, keys, order, ranges.blocks)
         frame, carried = _with_neighbours(ranges, columns)
+    # The next known point is the last one in reverse order: a frame that ends at the end of the
+    # partition would be scanned again for every row.
+    after = (
+        Window.partitionBy(*[F.col(c) for c in keys + ranges.blocks] or [F.lit(0)]).orderBy(F.desc("_rn"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     known = {c: _known(c) for c in columns}
     previous = {f"_p{i}": F.last(known[c], ignorenulls=True).over(before) for i, c in enumerate(columns)}
-    following = {f"_q{i}": F.first(known[c], ignorenulls=True).over(after) for i, c in enumerate(columns)}
+    following = {f"_q{i}": F.last(known[c], ignorenulls=True).over(after) for i, c in enumerate(columns)}
     frame = frame.withColumns({**previous, **following})
     if carried:
         frame = frame.withColumns({
@@ -300,7 +315,7 @@ def _with_neighbours(ranges: Ranges, columns: list[str]) -> tuple[DataFrame, lis
     })
     summary = summary.withColumns({
         **{f"_cp{i}": F.last(f"_last{i}", ignorenulls=True).over(ranges.earlier()) for i in spots},
-        **{f"_cq{i}": F.first(f"_first{i}", ignorenulls=True).over(ranges.later()) for i in spots},
+        **{f"_cq{i}": F.last(f"_first{i}", ignorenulls=True).over(ranges.later()) for i in spots},
     })
     carried = ["_before"] + [f"_cp{i}" for i in spots] + [f"_cq{i}" for i in spots]
     frame = ranges.attach(summary, carried)
