@@ -56,9 +56,12 @@ def apply_labels(df: DataFrame, categories: DataFrame, columns: list[str] | None
     """Replace each column by its code; an unknown value is an error (or NULL with ``unknown='null'``)."""
     if unknown not in ("error", "null"):
         raise ValueError(f"unknown must be error or null: {unknown}")
-    for c in columns or fitted_columns(categories):
-        codes = categories.where(F.col("column") == c).select("category", "code")
-        few = codes.limit(LITERAL_CATEGORIES + 1).collect()
+    listed: dict[str, list] = {c: [] for c in columns or []}
+    # At most LITERAL_CATEGORIES + 1 rows per column reach the driver.
+    for row in categories.where(F.col("code") <= LITERAL_CATEGORIES).collect():
+        listed.setdefault(row["column"], []).append(row)
+    for c in columns or sorted(listed):
+        few = listed[c]
         df = df.withColumn("_category", _token(c, null_token))
         if not few:
             code = F.lit(None).cast("bigint")
@@ -66,7 +69,8 @@ def apply_labels(df: DataFrame, categories: DataFrame, columns: list[str] | None
             pairs = F.create_map(*[F.lit(v) for r in few for v in (r["category"], int(r["code"]))])
             code = F.try_element_at(pairs, F.col("_category")).cast("bigint")
         else:
-            renamed = codes.select(F.col("category").alias("_category"), F.col("code").alias("_code"))
+            renamed = categories.where(F.col("column") == c).select(
+                F.col("category").alias("_category"), F.col("code").alias("_code"))
             df = lookup_join(df, renamed, ["_category"])
             code = F.col("_code")
         if unknown == "error":

@@ -12,6 +12,14 @@ from gridseries.schemas import floating_columns
 STRATEGIES = ("replace", "drop", "clip")
 
 
+def infinite_columns(df: DataFrame) -> list[str]:
+    floating = floating_columns(df.schema)
+    if not floating:
+        return []
+    row = df.agg(*[F.max(is_infinite(F.col(c))).alias(f"n{i}") for i, c in enumerate(floating)]).first()
+    return [c for i, c in enumerate(floating) if row[f"n{i}"]]
+
+
 def handle_infinite(df: DataFrame, strategy: str = "replace", exact: bool = True) -> DataFrame:
     """``replace`` fills all gaps of a column that held infinities with its median, ``drop`` removes
     rows with an infinite or missing value in any column, ``clip`` uses the finite extremes."""

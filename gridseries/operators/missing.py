@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,8 @@ def fill_missing(df: DataFrame, strategy: str = "smart", order_by: list[str] | N
     df = nan_to_null(df)
     if strategy == "drop":
         return df.dropna("any")
+    if strategy == "smart":
+        return _fill_smart(df, order_by or [], group_by, time, fill_text_within, exact, block_rows)
     missing = missing_counts(df)
     gaps = [c for c in df.columns if missing[c]]
     if not gaps:
@@ -42,8 +46,6 @@ def fill_missing(df: DataFrame, strategy: str = "smart", order_by: list[str] | N
     if strategy == "mode":
         found = modes(df, gaps)
         return fill_with(df, {c: fill_value if found[c] is None else found[c] for c in gaps})
-    if strategy == "smart":
-        return _fill_smart(df, gaps, order_by or [], group_by, time, fill_text_within, exact, block_rows)
     if not order_by:
         raise ValueError(f"{strategy} needs order_by: columns that order the whole table")
     if strategy == "forward_fill":
@@ -99,22 +101,27 @@ def _filled(df: DataFrame, column: str, value) -> Column:
     return F.coalesce(F.col(column), F.lit(value).cast(kind))
 
 
-def _fill_smart(df, gaps, order_by, group_by, time, fill_text_within, exact, block_rows) -> DataFrame:
+def _fill_smart(df, order_by, group_by, time, fill_text_within, exact, block_rows) -> DataFrame:
     """Interpolate measures, run text forward then take the mode, then medians for what is left."""
     located = group_by in df.columns and time in df.columns
     if not located and not order_by:
         raise ValueError("order_by is needed where the table has no location and time")
     keys = [group_by] if located else []
     order = ([time] if located else []) + order_by
-    numeric = [c for c in numeric_columns(df.schema) if c in gaps]
+    found = _survey(df, keys, order)
+    if not found.gaps:
+        return df
+    numeric = [c for c in numeric_columns(df.schema) if c in found.gaps]
     measures = [c for c in numeric if c not in NOT_MEASURED]
-    text = [c for c in text_columns(df.schema) if c in gaps]
-    undecided = _may_stay_missing(df, measures, keys)
-    text_modes = modes(df, text)
-    others = [c for c in numeric if c not in measures]
+    others = [c for c in numeric if c in NOT_MEASURED]
+    text = [c for c in text_columns(df.schema) if c in found.gaps]
     other_medians = medians(df, others, exact)
+    # Text that runs on from the first row of the table leaves no gap, so needs no mode.
+    leading = [c for c in text if fill_text_within or c in found.missing_first]
+    text_modes = modes(df, leading)
 
     filled = nan_to_null(interpolate(df, measures, keys, order, block_rows), measures)
+    undecided = [c for c in measures if c in found.undecided]
     if undecided:
         # Medians of the interpolated values: store them once instead of sorting again per pass.
         filled = materialize(filled, "interpolated")
@@ -124,21 +131,43 @@ def _fill_smart(df, gaps, order_by, group_by, time, fill_text_within, exact, blo
         within = [fill_text_within] if fill_text_within else []
         rest = [c for c in keys + order if c not in within]
         filled = forward_fill(filled, text, within, rest, block_rows)
-        filled = fill_with(filled, {c: "Unknown" if text_modes[c] is None else text_modes[c] for c in text})
+        filled = fill_with(filled, {c: "Unknown" if text_modes[c] is None else text_modes[c] for c in leading})
     return filled
 
 
-def _may_stay_missing(df: DataFrame, measures: list[str], keys: list[str]) -> list[str]:
-    """Columns that interpolation may leave with gaps: a group without values, or both infinities."""
-    if not measures:
-        return []
-    known = [F.count(c).alias(f"n{i}") for i, c in enumerate(measures)]
-    low = [F.min(c).alias(f"l{i}") for i, c in enumerate(measures)]
-    high = [F.max(c).alias(f"h{i}") for i, c in enumerate(measures)]
-    groups = df.groupBy(*keys).agg(*known, *low, *high)
-    row = groups.agg(*[
-        (F.min(f"n{i}").eqNullSafe(0)
-         | F.coalesce((F.min(f"l{i}") == -INFINITY) & (F.max(f"h{i}") == INFINITY), F.lit(False))).alias(f"u{i}")
-        for i in range(len(measures))
-    ]).first()
-    return [c for i, c in enumerate(measures) if row[f"u{i}"]]
+@dataclass
+class _Survey:
+    """``gaps``: columns with NULLs. ``undecided``: numbers that interpolation may leave with gaps, as a
+    group has no value or both infinities. ``missing_first``: text without a value in the first row."""
+
+    gaps: set[str]
+    undecided: set[str]
+    missing_first: set[str]
+
+
+def _survey(df: DataFrame, keys: list[str], order: list[str]) -> _Survey:
+    """One pass: partial aggregates by group, then one row."""
+    columns = df.columns
+    numbers, text = set(numeric_columns(df.schema)), text_columns(df.schema)
+    rows = F.count(F.lit(1)).alias("rows")
+    place = F.struct(*keys, *order)
+    per_group = [rows, F.min(place).alias("place")]
+    for i, c in enumerate(columns):
+        per_group.append(F.count(c).alias(f"n{i}"))
+        if c in numbers:
+            per_group += [F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
+    if text:
+        per_group.append(F.min_by(F.struct(*[F.col(c).isNull().alias(c) for c in text]), place).alias("start"))
+    groups = df.groupBy(*keys).agg(*per_group)
+    totals = [F.sum(F.col("rows") - F.col(f"n{i}")).alias(f"gap{i}") for i in range(len(columns))]
+    for i, c in enumerate(columns):
+        if c in numbers:
+            infinite = (F.col(f"l{i}") == -INFINITY) & (F.col(f"h{i}") == INFINITY)
+            totals.append(F.max((F.col(f"n{i}") == 0) | F.coalesce(infinite, F.lit(False))).alias(f"undecided{i}"))
+    if text:
+        totals.append(F.min_by("start", "place").alias("start"))
+    row = groups.agg(*totals).first()
+    return _Survey(
+        {c for i, c in enumerate(columns) if row[f"gap{i}"]},
+        {c for i, c in enumerate(columns) if c in numbers and row[f"undecided{i}"]},
+        {c for c in text if row["start"] is not None and row["start"][c]})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from gridseries.operators.duplicates import remove_duplicates
 from gridseries.operators.encoding import apply_labels, encodable_columns, fit_categories, fitted_columns
-from gridseries.operators.infinite import handle_infinite
+from gridseries.operators.infinite import handle_infinite, infinite_columns
 from gridseries.operators.missing import fill_missing
 from gridseries.operators.ordered import BLOCK_ROWS
 from gridseries.operators.outliers import detect_outliers, treat_outliers
@@ -34,18 +34,18 @@ def clean(df: DataFrame, fitted: Fitted | None = None, scale_method: str = "stan
     """Without ``fitted`` this trains: outliers are treated, encoder and scaler are fitted and saved.
 
     With ``fitted`` the stored encoder and scaler are applied. The table is written to the shared folder
-    twice, before infinities and after standardizing: the steps behind each read it several times, and
-    from there a lost executor costs a scan instead of the windows and shuffles before it.
+    after standardizing, and before infinities are handled where there are any: the steps behind each
+    read it several times, and from there a lost executor costs a scan instead of all windows before it.
     """
     training = fitted is None
     result = Fitted() if training else Fitted(fitted.scaler, fitted.categories)
     report = result.report
     if with_report:
         report["quality"] = profile(df)
-    filled = fill_missing(df, "smart", order_by, exact=exact, block_rows=block_rows)
-    if filled is not df:
-        filled = materialize(filled, "filled")
-    finite = handle_infinite(filled, "replace", exact)
+    finite = fill_missing(df, "smart", order_by, exact=exact, block_rows=block_rows)
+    # Finite values interpolate to finite ones, so a table without infinities can skip the step.
+    if infinite_columns(df):
+        finite = handle_infinite(materialize(finite, "filled"), "replace", exact)
     uniform = materialize(standardize_format(remove_duplicates(finite), null_token=null_token), "uniform")
 
     frame = uniform
@@ -60,9 +60,9 @@ def clean(df: DataFrame, fitted: Fitted | None = None, scale_method: str = "stan
     columns = encodable_columns(frame)
     if columns and training:
         result.categories = materialize(fit_categories(frame, columns, null_token), "categories")
+    elif columns:
+        _require_fitted(frame, columns, result.categories)
     if columns:
-        if result.categories is None or set(columns) - set(fitted_columns(result.categories)) - _empty(frame, columns):
-            raise ValueError(f"the encoder was never fitted for some of {columns}")
         frame = apply_labels(frame, result.categories, columns, null_token)
         report["encoding"] = {"method": "label", "columns": columns}
 
@@ -79,7 +79,8 @@ def clean(df: DataFrame, fitted: Fitted | None = None, scale_method: str = "stan
     return frame, result
 
 
-def _empty(frame: DataFrame, columns: list[str]) -> set[str]:
-    """Text columns without any value have no categories to fit."""
-    counts = frame.select(*columns).summary("count").first()
-    return {c for c in columns if int(counts[c]) == 0}
+def _require_fitted(frame: DataFrame, columns: list[str], categories: DataFrame | None) -> None:
+    """Only columns without any value may lack categories."""
+    unfitted = set(columns) - set(fitted_columns(categories) if categories is not None else [])
+    if unfitted and frame.select(*unfitted).dropna("all").limit(1).count():
+        raise ValueError(f"the encoder was never fitted for {sorted(unfitted)}")
