@@ -89,14 +89,16 @@ def split_hot(df: DataFrame, keys: list[str], order: list[str],
     if block_rows is None:
         return Ranges(df, keys, order, blocks)
     limit = block_rows
-    for depth, number in enumerate(_numbers(order, types)):
+    numbers = _numbers(order, types)
+    while numbers:
+        number, unneeded_up_to = numbers.pop(0)
         groups = keys + blocks
         candidates = df.where(F.pmod(blocks[-1], F.lit(2)) == 1) if blocks else df
         hot = _hot_groups(candidates, groups, limit)
         if not hot:
             break
-        cuts = _cut_points(candidates, groups, number, hot, limit, types)
-        block = f"_block{depth}"
+        cuts, heavy, largest = _cut_points(candidates, groups, number, hot, limit, types)
+        block = f"_block{len(blocks)}"
         is_cut = F.col("_cuts").isNotNull()
         single = F.coalesce(F.get("_cuts", F.col("_below")) == F.col("_number"), F.lit(False)).cast("int")
         place = F.when(F.col("_number").isNull(), F.lit(-1)).otherwise(2 * F.col("_below") + single)
@@ -110,15 +112,23 @@ def split_hot(df: DataFrame, keys: list[str], order: list[str],
         blocks = blocks + [block]
         types[block] = T.IntegerType()
         limit = 2 * block_rows
+        if not heavy:
+            break
+        if unneeded_up_to is not None and largest <= unneeded_up_to:
+            numbers.pop(0)
     return Ranges(df, keys, order, blocks)
 
 
-def _numbers(order: list[str], types: dict[str, T.DataType]) -> list[Column]:
-    """The numbers of the order columns one after the other, up to one that does not tell values apart."""
-    found: list[Column] = []
+def _numbers(order: list[str], types: dict[str, T.DataType]) -> list[tuple[Column, float | None]]:
+    """The numbers of the order columns one after the other, up to one that does not tell values apart.
+
+    With a number comes the size up to which it alone is exact, where a second one follows for the rest.
+    """
+    found: list[tuple[Column, float | None]] = []
     for column in order:
         numbers, exact = order_numbers(column, types[column])
-        found += numbers
+        rest_follows = exact and len(numbers) == 2
+        found += [(n, float(2 ** 53) if rest_follows and i == 0 else None) for i, n in enumerate(numbers)]
         if not exact:
             break
     return found
@@ -136,37 +146,42 @@ def _hot_groups(df: DataFrame, groups: list[str], limit: int) -> list:
     return counts.orderBy(F.desc("_n")).limit(MAX_HOT).collect()
 
 
-def _cut_points(df, groups, number, hot, limit, types) -> list[tuple]:
-    """One entry per hot group with its ascending cut points; collected, so that they stay the same."""
+def _cut_points(df, groups, number, hot, limit, types) -> tuple[list[tuple], bool, float]:
+    """One entry per hot group with its ascending cut points; collected, so that they stay the same.
+
+    Also whether one value (or NULL) may fill more than a range, and the largest size of a number.
+    """
     spark = df.sparkSession
     rows_per_block = max(limit, math.ceil(sum(r["_n"] for r in hot) / MAX_BLOCKS))
     pieces = [min(MAX_CUTS, math.ceil(r["_n"] / rows_per_block)) for r in hot]
     finest = max(max(pieces), 2)
     shares = [i / finest for i in range(1, finest)]
     fields = [T.StructField(f"_k_{c}", types[c]) for c in groups]
-    wanted = spark.createDataFrame(
-        [tuple(r[c] for c in groups) for r in hot] if groups else [(1,)],
-        T.StructType(fields or [T.StructField("_k_", T.IntegerType())]))
     if groups:
+        wanted = spark.createDataFrame([tuple(r[c] for c in groups) for r in hot], T.StructType(fields))
         match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in groups])
-        rows = df.join(F.broadcast(wanted), match, "left_semi")
-    else:
-        rows = df
+        df = df.join(F.broadcast(wanted), match, "left_semi")
     found = (
-        rows.select(*groups, number.alias("_number"))
+        df.select(*groups, number.alias("_number"))
         .groupBy(*groups)
-        .agg(F.percentile_approx("_number", shares, 10_000).alias("_cuts"))
+        .agg(F.percentile_approx("_number", shares, 10_000).alias("_cuts"),
+             F.count_if(F.col("_number").isNull()).alias("_nulls"),
+             F.max(F.abs("_number")).alias("_largest"))
         .collect()
     )
     wanted_pieces = {tuple(r[c] for c in groups): max(p, 2) for r, p in zip(hot, pieces)}
-    data = []
+    data, heavy, largest = [], False, 0.0
     for row in found:
         group = tuple(row[c] for c in groups)
         every = row["_cuts"] or []
         pieces_here = wanted_pieces[group]
         picked = [every[round(i * finest / pieces_here) - 1] for i in range(1, pieces_here)] if every else []
-        data.append(group + (sorted(set(picked)),))
-    return data
+        distinct = sorted(set(picked))
+        # With fewer than three pieces no two cut points could show a repeated value.
+        heavy = heavy or len(distinct) < len(picked) or pieces_here < 4 or row["_nulls"] > limit
+        largest = max(largest, row["_largest"] or 0.0)
+        data.append(group + (distinct,))
+    return data, heavy, largest
 
 
 def _with_cuts(df: DataFrame, groups: list[str], cuts: list[tuple]) -> DataFrame:
