@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.operators.joins import coordinate_keys, lookup_join, salted_join
@@ -21,11 +21,21 @@ def monthly_normals(df: DataFrame, order_by: list[str] | None = None) -> DataFra
         df = df.withColumn("month", F.month("time"))
     require_columns(df.columns, ["latitude", "longitude", "month", "T2M", "PRECTOTCORR"])
     order = order_by or (["time"] if "time" in df.columns else [])
-    first = F.struct(*order, "latitude", "longitude")
     keyed = df.withColumns(coordinate_keys(F.col("latitude"), F.col("longitude"))).dropna(subset=KEYS)
+    # By exact place first: sums, counts and one order column stay in hash tables there, and choosing
+    # the first place then works on the few places that share a rounded one.
+    first_seen = [F.min(F.struct(*order) if len(order) > 1 else order[0]).alias("_seen")] if order else []
+    places = keyed.groupBy(*KEYS, "latitude", "longitude").agg(
+        *[f(c).alias(f"_{n}_{c}") for c in ("T2M", "PRECTOTCORR") for n, f in (("sum", F.sum), ("count", F.count))],
+        *first_seen)
+    first = F.struct(*(["_seen"] if order else []), "latitude", "longitude")
+
+    def mean(c: str) -> Column:
+        return F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}"))
+
     return (
-        keyed.groupBy(*KEYS)
-        .agg(F.avg("T2M").alias("baseline_temp"), F.avg("PRECTOTCORR").alias("baseline_precip"),
+        places.groupBy(*KEYS)
+        .agg(mean("T2M").alias("baseline_temp"), mean("PRECTOTCORR").alias("baseline_precip"),
              F.min_by(F.struct("latitude", "longitude"), first).alias("_place"))
         .select(*KEYS, "baseline_temp", "baseline_precip", "_place.latitude", "_place.longitude")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,20 +106,20 @@ def _fill_smart(df, order_by, group_by, time, fill_text_within, exact, block_row
         raise ValueError("order_by is needed where the table has no location and time")
     keys = [group_by] if located else []
     order = ([time] if located else []) + order_by
-    found = _survey(df, keys, order)
-    if not found.gaps:
+    gaps, may_stay = _survey(df, keys)
+    if not gaps:
         return df
-    numeric = [c for c in numeric_columns(df.schema) if c in found.gaps]
+    numeric = [c for c in numeric_columns(df.schema) if c in gaps]
     measures = [c for c in numeric if c not in NOT_MEASURED]
     others = [c for c in numeric if c in NOT_MEASURED]
-    text = [c for c in text_columns(df.schema) if c in found.gaps]
+    text = [c for c in text_columns(df.schema) if c in gaps]
     other_medians = medians(df, others, exact)
     # Text that runs on from the first row of the table leaves no gap, so needs no mode.
-    leading = [c for c in text if fill_text_within or c in found.missing_first]
+    leading = text if fill_text_within else _without_first(df, text, keys + order)
     text_modes = modes(df, leading)
 
     filled = nan_to_null(interpolate(df, measures, keys, order, block_rows), measures)
-    undecided = [c for c in measures if c in found.undecided]
+    undecided = [c for c in measures if c in may_stay]
     if undecided:
         # Medians of the interpolated values: store them once instead of sorting again per pass.
         filled = materialize(filled, "interpolated")
@@ -135,39 +133,31 @@ def _fill_smart(df, order_by, group_by, time, fill_text_within, exact, block_row
     return filled
 
 
-@dataclass
-class _Survey:
-    """``gaps``: columns with NULLs. ``undecided``: numbers that interpolation may leave with gaps, as a
-    group has no value or both infinities. ``missing_first``: text without a value in the first row."""
-
-    gaps: set[str]
-    undecided: set[str]
-    missing_first: set[str]
-
-
-def _survey(df: DataFrame, keys: list[str], order: list[str]) -> _Survey:
-    """One pass: partial aggregates by group, then one row."""
+def _survey(df: DataFrame, keys: list[str]) -> tuple[set[str], set[str]]:
+    """The columns with gaps, and the numbers among which interpolation may leave some, because a group
+    has no value or both infinities. One pass of counts and extremes by group, combined in hash tables."""
     columns = df.columns
-    numbers, text = set(numeric_columns(df.schema)), text_columns(df.schema)
-    rows = F.count(F.lit(1)).alias("rows")
-    place = F.struct(*keys, *order)
-    per_group = [rows, F.min(place).alias("place")]
+    numbers = set(numeric_columns(df.schema))
+    per_group = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(columns):
         per_group.append(F.count(c).alias(f"n{i}"))
         if c in numbers:
             per_group += [F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
-    if text:
-        per_group.append(F.min_by(F.struct(*[F.col(c).isNull().alias(c) for c in text]), place).alias("start"))
-    groups = df.groupBy(*keys).agg(*per_group)
-    totals = [F.sum(F.col("rows") - F.col(f"n{i}")).alias(f"gap{i}") for i in range(len(columns))]
+    totals = []
     for i, c in enumerate(columns):
+        totals.append(F.sum(F.col("rows") - F.col(f"n{i}")).alias(f"gap{i}"))
         if c in numbers:
             infinite = (F.col(f"l{i}") == -INFINITY) & (F.col(f"h{i}") == INFINITY)
-            totals.append(F.max((F.col(f"n{i}") == 0) | F.coalesce(infinite, F.lit(False))).alias(f"undecided{i}"))
-    if text:
-        totals.append(F.min_by("start", "place").alias("start"))
-    row = groups.agg(*totals).first()
-    return _Survey(
+            totals.append(F.max((F.col(f"n{i}") == 0) | F.coalesce(infinite, F.lit(False))).alias(f"stay{i}"))
+    row = df.groupBy(*keys).agg(*per_group).agg(*totals).first()
+    return (
         {c for i, c in enumerate(columns) if row[f"gap{i}"]},
-        {c for i, c in enumerate(columns) if c in numbers and row[f"undecided{i}"]},
-        {c for c in text if row["start"] is not None and row["start"][c]})
+        {c for i, c in enumerate(columns) if c in numbers and row[f"stay{i}"]})
+
+
+def _without_first(df: DataFrame, text: list[str], order: list[str]) -> list[str]:
+    """The text columns that are NULL in the first row; each task passes on one row."""
+    if not text:
+        return []
+    row = df.select(*order, *[F.col(c).isNull().alias(f"_no_{c}") for c in text]).orderBy(*order).limit(1).first()
+    return [c for c in text if row is not None and row[f"_no_{c}"]]
