@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 import check
+from gridseries.plans import catalogue, oracles
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalogue.all_queries()
+SQL = oracles.all_sql()
 ROWS_ONLY = {"score_model", "model_metrics"}
 
 
@@ -20,6 +21,11 @@ def test_every_query_but_the_fitted_models_has_sql():
     assert not set(SQL) - set(QUERIES)
 
 
+def test_all_of_them_are_registered():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["location_id", "time", "T2M_anom", "T2M_MAX_anom", "T2M_MIN_anom"]
