@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import quality
+from gridseries.llm import mixing, quality, scratch, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_mixing(spark, folder):
+    docs = table(spark, folder, "documents")
+    sized = scratch.stored(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words")))
+    return mixing.mix(sized, F.col("words")).select(
+        "doc_id", "size", "source_size", "target", "taken", F.col("placed.shard").alias("shards"))
+
+
 @query
 def op2_quality(spark, folder):
     judged = quality.apply_policy(quality.measure(table(spark, folder, "documents")))
@@ -34,3 +42,16 @@ def op2_quality(spark, folder):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"), "kept", "failures")
+
+
+@query
+def op9_urls(spark, folder):
+    return urls.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op10_warc(spark, folder):
+    place = scratch.folder(spark)
+    warc.write_arcs(table(spark, folder, "pages"), f"{place}/arc")
+    records = warc.convert(spark, f"{place}/arc", f"{place}/warc")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gridseries.llm import urls
+
 QUALITY = r"""
 with w as (
   select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
@@ -45,5 +47,51 @@ from f
 """
 
 
+_TERM = "len(list_filter([{terms}], lambda t: regexp_matches(u, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')))"
+
+
+def _url_sql() -> str:
+    def count(terms):
+        return _TERM.format(terms=", ".join(f"'{t}'" for t in terms))
+
+    rules = ""
+    for verdict, rule in sorted(urls.RULES, key=lambda x: -len(x[1])):
+        host, _, path = rule.partition("/")
+        rules += (f"when (host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '/{path}') "
+                  f"then '{verdict} {rule}'\n    ")
+    return f"""
+with u as (
+  select page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as u,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) as path
+  from pages),
+r as (
+  select *, case {rules}end as r, {count(urls.STRICT)} as strict, {count(urls.SOFT)} as soft from u)
+select page_id, host, path, split_part(r, ' ', 2) as rule,
+  coalesce(split_part(r, ' ', 1), case when strict > 0 or soft >= {urls.SOFT_LIMIT} then 'block' else 'allow' end) as verdict
+from r
+"""
+
+
+WARC = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+    cast(cast(unhex(sha1(coalesce(html, ''))) as bit) as varchar) as bits
+  from pages),
+d as (
+  select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+        16 * cast(substr(bits, 5 * i + 1, 1) as int) + 8 * cast(substr(bits, 5 * i + 2, 1) as int)
+        + 4 * cast(substr(bits, 5 * i + 3, 1) as int) + 2 * cast(substr(bits, 5 * i + 4, 1) as int)
+        + cast(substr(bits, 5 * i + 5, 1) as int) as int), 1)), '') as payload_digest
+  from p),
+m as (select *, max(page_id) over (partition by payload_digest) as first from d)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from m
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_quality": QUALITY}
+    return {"op2_quality": QUALITY, "op9_urls": _url_sql(), "op10_warc": WARC}
