@@ -206,7 +206,7 @@ def _rank(seed: int) -> Column:
 def _plan(slim: DataFrame, sources: list[Source], seed: int, shard_blocks: int) -> DataFrame:
     """One row per block that the mix touches: the shards of its copies.
 
-    Of a block whose last copy is taken in part, ``cut_rank`` is the highest hash rank that copy holds.
+    Of a block whose last copy is taken in part, ``ranks`` are the hash ranks of the documents in that copy.
     """
     spark = slim.sparkSession
     keyed = _keyed(slim, sources, seed)
@@ -238,15 +238,19 @@ def _plan(slim: DataFrame, sources: list[Source], seed: int, shard_blocks: int)
     drawn = spark.range(shards).mapInPandas(draw, "source_no int, block long, turn int, shard int")
     copies = drawn.groupBy("source_no", "block").agg(
         F.sort_array(F.collect_list(F.struct("turn", "shard"))).alias("copies"))
-    # Documents of the blocks cut in part (one block a source), in hash order; the one at the cut is taken if that is nearer.
+    # Of the blocks cut in part (one a source) the last copy takes what still fits, in the order of a hash.
     cut = cuts.select("source_no", F.col("cut_block").alias("block"), "due")
-    line = Window.partitionBy("source_no", "block").orderBy("rank")
     inside = keyed.join(F.broadcast(cut), ["source_no", "block"]).groupBy(
-        "source_no", "block", "due", _rank(seed).alias("rank")).agg(F.sum("size").alias("size"))
-    before = F.sum("size").over(line) - F.col("size")
-    ranks = inside.withColumn("before", before).groupBy("source_no", "block").agg(F.coalesce(
-        F.max(F.when(F.col("before") + F.col("size") / 2 <= F.col("due"), F.col("rank"))),
-        F.lit(-(1 << 63))).alias("cut_rank"))
+        "source_no", "block", "due", _rank(seed).alias("rank")).agg(F.sum("size").alias("size")).groupBy(
+        "source_no", "block", "due").agg(F.sort_array(F.collect_list(F.struct("rank", "size"))).alias("docs"))
+
+    def take(state, doc):
+        fits = doc["size"] <= state["left"]
+        return F.struct((state["left"] - F.when(fits, doc["size"]).otherwise(F.lit(0))).alias("left"), F.when(
+            fits, F.concat(state["ranks"], F.array(doc["rank"]))).otherwise(state["ranks"]).alias("ranks"))
+
+    none_yet = F.struct(F.col("due").alias("left"), F.array().cast("array<bigint>").alias("ranks"))
+    ranks = inside.select("source_no", "block", F.aggregate("docs", none_yet, take, lambda x: x["ranks"]).alias("ranks"))
     return stored(copies.join(F.broadcast(ranks), ["source_no", "block"], "left"))
 
 
@@ -254,7 +258,7 @@ def _placed(counted: DataFrame, plan: DataFrame, sources: list[Source], seed: in
     """Documents with the copies that the mix takes of them."""
     flagged = _keyed(counted, sources, seed).join(plan, ["source_no", "block"], "left")
     copies = F.coalesce(F.col("copies"), F.array().cast("array<struct<turn:int,shard:int>>"))
-    beyond = F.col("cut_rank").isNotNull() & (_rank(seed) > F.col("cut_rank"))
+    beyond = F.col("ranks").isNotNull() & ~F.array_contains("ranks", _rank(seed))
     copies = F.when(beyond, F.filter(copies, lambda c: c["turn"] < F.col("passes"))).otherwise(copies)
     placed = F.transform(copies, lambda c: F.struct(
         c["shard"].alias("shard"), F.xxhash64(F.lit(seed), c["shard"], c["turn"], F.col("doc_id")).alias("order")))

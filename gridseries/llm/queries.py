@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import mixing, quality, scratch, urls, warc
+from gridseries.llm import licenses, mixing, quality, scratch, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,23 @@ def op2_quality(spark, folder):
         base_failed.alias("base_failed"), "kept", "failures")
 
 
+@query
+def op6_licenses(spark, folder):
+    found = licenses.scan(table(spark, folder, "documents"))
+    base, method = F.col("base_places"), F.col("detections")
+
+    def joined(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda b: b["place"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda b: b["place"])).alias("last_word"),
+        joined(F.transform(base, lambda b: b["label"])).alias("base_labels"),
+        joined(F.concat(F.transform(base, lambda b: b["label"]), F.transform(method, lambda d: d["label"]))).alias("labels"),
+        licenses.confidence(base, method).alias("score"))
+
+
 @query
 def op9_urls(spark, folder):
     return urls.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
