@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import licenses, mixing, quality, scratch, urls, warc
+from gridseries.llm import decontaminate, licenses, lines, mixing, quality, scratch, simhash, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,12 @@ def op2_quality(spark, folder):
         base_failed.alias("base_failed"), "kept", "failures")
 
 
+@query
+def op5_decontamination(spark, folder):
+    pairs = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return pairs.select("doc_id", "item_id", "n_shingles", "n_shared", "containment")
+
+
 @query
 def op6_licenses(spark, folder):
     found = licenses.scan(table(spark, folder, "documents"))
@@ -61,6 +67,22 @@ def op6_licenses(spark, folder):
         licenses.confidence(base, method).alias("score"))
 
 
+@query
+def op7_simhash(spark, folder):
+    prints = scratch.stored(simhash.fingerprints(table(spark, folder, "documents")))
+    return simhash.groups(prints).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_lines(spark, folder):
+    cleaned = lines.dedup(table(spark, folder, "documents"), removed="removed_lines", cleaned="kept_text")
+    return cleaned.select(
+        "doc_id", F.size("removed_lines").cast("long").alias("n_removed"),
+        F.array_join(F.transform("removed_lines", lambda i: i.cast("string")), ",").alias("removed_lines"),
+        F.md5("kept_text").alias("kept_md5"))
+
+
 @query
 def op9_urls(spark, folder):
     return urls.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")

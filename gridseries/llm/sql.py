@@ -93,5 +93,70 @@ from m
 """
 
 
+LEAKS = r"""
+with dw as (
+  select doc_id, row_number() over () as r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+iw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+i as (
+  select item_id, least(len(w), 5) as l, unnest(list_distinct(list_transform(
+    range(1, len(w) - least(len(w), 5) + 2), lambda k: array_to_string(list_slice(w, k, k + least(len(w), 5) - 1), ' ')))) as s
+  from iw where len(w) > 0),
+n as (select item_id, count(*) as n_shingles from i group by item_id),
+d as (
+  select distinct r, doc_id, l, unnest(list_transform(
+    range(1, len(w) - l + 2), lambda k: array_to_string(list_slice(w, k, k + l - 1), ' '))) as s
+  from dw, (select distinct l from i) where len(w) >= l),
+c as (select doc_id, r, item_id, count(*) as n_shared from d join i using (l, s) group by all)
+select doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles as containment
+from c join n using (item_id) where 10 * n_shared >= 8 * n_shingles
+"""
+
+
+LINES = r"""
+with t as (select doc_id, coalesce(text, '') as t, row_number() over (order by doc_id) as r from documents),
+u as (
+  select r, doc_id, unnest(string_split(t, chr(10))) as s, generate_subscripts(string_split(t, chr(10)), 1) - 1 as line
+  from t),
+l as (
+  select r, line, s, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) as n,
+    row_number() over (partition by r order by line) - 1 as p
+  from u where regexp_matches(s, '[^\x20\x09-\x0D]')),
+c as (select *, sum(n) over (partition by r order by p) as upto from l),
+w as (
+  select a.r, a.p, min(b.p) - a.p + 1 as len
+  from c a join c b on a.r = b.r and b.p >= a.p and b.p < a.p + 50 and b.upto >= a.upto - a.n + 50
+  group by a.r, a.p),
+k as (
+  select w.r, w.p, w.len, string_agg(c.s, chr(10) order by c.p) as content
+  from w join c on c.r = w.r and c.p >= w.p and c.p < w.p + w.len group by all),
+f as (select *, first_value(r) over o as fr, first_value(p) over o as fat from k window o as (
+  partition by content, len order by r, p)),
+m as (select distinct r, p, len, fr, p - fat as shift from f where r <> fr or p <> fat),
+apart as (
+  select m.r, m.fr, m.shift, x.p
+  from (select distinct r, fr, shift from m) m
+  join (select r, p, s from c union all select r, max(p) + 1, null from c group by r union all select r, -1, null
+    from c group by r) x on x.r = m.r
+  left join c y on y.r = m.fr and y.p = x.p - m.shift
+  where x.s is null or y.s is null or x.s <> y.s),
+e as (
+  select m.r, m.p, m.len, m.fr, m.shift, max(a.p) filter (a.p < m.p) + 1 as lo, min(a.p) filter (a.p >= m.p) as hi
+  from m join apart a on a.r = m.r and a.fr = m.fr and a.shift = m.shift group by all),
+gone as (select distinct c.r, c.line from e join c on c.r = e.r and c.p >= e.lo and c.p < e.hi),
+g as (select r, count(*) as n_removed, string_agg(cast(line as varchar), ',' order by line) as removed_lines from gone group by r),
+kept as (
+  select u.r, string_agg(u.s, chr(10) order by u.line) as kept
+  from u left join gone on gone.r = u.r and gone.line = u.line where gone.r is null group by u.r)
+select t.doc_id, coalesce(n_removed, 0) as n_removed, coalesce(removed_lines, '') as removed_lines,
+  md5(coalesce(kept, '')) as kept_md5
+from t left join g using (r) left join kept using (r)
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_quality": QUALITY, "op9_urls": _url_sql(), "op10_warc": WARC}
+    return {"op2_quality": QUALITY, "op5_decontamination": LEAKS, "op8_lines": LINES, "op9_urls": _url_sql(),
+            "op10_warc": WARC}
