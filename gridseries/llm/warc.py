@@ -2,7 +2,7 @@
 
 ``write_arcs`` packs pages into ARC files, ``read_arcs`` parses them by the version line and the declared lengths,
 ``write_warcs`` synthesises WARC records (identifier, time, type, digests) and ``read_warcs`` reads those back.
-Files are cut at about ``ARCHIVE_BYTES``, so one file is one bounded piece of work; a record larger than that has a file
+Files are compressed by gzip and cut at about ``ARCHIVE_BYTES`` of content, so one file is one bounded piece of work; a record larger than that has a file
 to itself. Each task packs the rows it has: pages are not shuffled for writing. Records with equal payloads of
 at least ``min_revisit_bytes`` become one response, with the largest page id, and revisits of it.
 
@@ -14,6 +14,7 @@ An empty table gives empty folders and an empty result. Other columns of the inp
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -68,8 +69,8 @@ def _pack(rows: DataFrame, path: str, first_piece, piece_of, line_end: str) -> N
             yield pd.DataFrame(out, columns=["archive", "seq", "piece"])
 
     pieces = rows.mapInPandas(run, PIECE).sortWithinPartitions("archive", "seq")
-    pieces.select(F.col("piece").cast("string").alias("value"), "archive").write.option("lineSep", line_end).partitionBy(
-        "archive").text(path)
+    pieces.select(F.col("piece").cast("string").alias("value"), "archive").write.option("lineSep", line_end).option(
+        "compression", "gzip").partitionBy("archive").text(path)
 
 
 def arc_version_block(name: str, version: str) -> bytes:
@@ -159,7 +160,7 @@ def read_arcs(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(batch["path"], batch["content"], strict=True):
                 short = "/".join(name.split("/")[-2:])
                 out = []
-                for offset, fields, block in parse_arc(bytes(content)):
+                for offset, fields, block in parse_arc(gzip.decompress(content)):
                     head, payload = http_parts(block)
                     number = head.get("x-page-id")
                     out.append((f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{short}#{offset}')}",
@@ -260,7 +261,7 @@ def read_warcs(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 out = []
-                for f, block in parse_warc(bytes(content)):
+                for f, block in parse_warc(gzip.decompress(content)):
                     if f["WARC-Type"] not in ("response", "revisit"):
                         continue
                     digest, payload = f["WARC-Payload-Digest"].removeprefix("sha1:"), None
