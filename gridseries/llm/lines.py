@@ -103,7 +103,7 @@ def dedup(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, remov
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
     content = whole(F.col(f"`{text}`"))
     key = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(content) == F.col("_hash"))
-    joined = docs.join(found, key, "left")
+    joined = docs.join(found.hint("merge"), key, "left")  # it grows with the documents: the same plan at every size
     gone = F.coalesce(F.col("_removed"), F.array().cast("array<int>"))
     left = F.when(F.size(gone) == 0, content).otherwise(F.array_join(F.filter(
         F.split(content, "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n"))
