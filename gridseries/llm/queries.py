@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import decontaminate, licenses, lines, mixing, quality, scratch, simhash, urls, warc
+from gridseries.llm import decontaminate, licenses, lines, lm, mixing, quality, scratch, simhash, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +44,18 @@ def op2_quality(spark, folder):
         base_failed.alias("base_failed"), "kept", "failures")
 
 
+def fold() -> Column:
+    """The remainder by 5 of the id's checksum; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5
+
+
+@query
+def op3_scoring(spark, folder):
+    scored = lm.score(table(spark, folder, "documents"), fold() != 1)
+    return scored.select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 @query
 def op5_decontamination(spark, folder):
     pairs = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
