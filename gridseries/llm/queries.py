@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import decontaminate, licenses, lines, lm, mixing, quality, scratch, simhash, urls, warc
+from gridseries.llm import decontaminate, licenses, lines, lm, mixing, quality, scratch, simhash, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,14 @@ def op3_scoring(spark, folder):
                          "base_score", "score")
 
 
+@query
+def op4_toxicity(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold() == 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_decontamination(spark, folder):
     pairs = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
