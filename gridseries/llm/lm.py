@@ -230,7 +230,7 @@ def score(docs: DataFrame, trains: Column, order: int = ORDER, text: str = "text
     costs = stored(run_table.unionByName(word_table))
     answers = requests.select("block", "kind", "key").join(costs, ["kind", "key"])
 
-    def add_up(key, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+    def add_up(key: tuple, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
         is_run = (table["kind"] == RUN).to_numpy()
         of_run, of_word = table[is_run], table[~is_run]
         keys, first = np.unique(of_run["key"].to_numpy(), return_index=True)
