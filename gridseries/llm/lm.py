@@ -243,8 +243,9 @@ def score(docs: DataFrame, trains: Column, order: int = ORDER, text: str = "text
         for doc_id, learns, packed in zip(texts["doc_id"], texts["trains"], texts["packed"], strict=True):
             line = unpack(packed)
             words = line.split()
-            for w in set(words) - memo.keys():
-                memo[w] = by_key[word_key(w)]
+            for w in set(words):
+                if w not in memo:
+                    memo[w] = by_key[word_key(w)]
             each = [memo[w] for w in words]
             each.append(by_key[END_WORD])
             numbers = runs(line, order)
