@@ -185,8 +185,10 @@ def mix(docs: DataFrame, size: Column | None = None, max_repeats: float = 3.0, w
     ``size`` is an expression over the input, by default the words of its text.
     """
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULT]
-    counted = docs.select(*kept, (word_count(F.col("text")) if size is None else size).alias("size"))
-    slim = stored(counted.select("doc_id", F.col("source").cast("string").alias("source"), "size"))
+    # The input's columns travel as one, so that their names clash with none made here.
+    counted = docs.select(F.struct(*kept).alias("row"), "doc_id", F.col("source").cast("string").alias("source"),
+                          (word_count(F.col("text")) if size is None else size).alias("size"))
+    slim = stored(counted.drop("row"))
     sources = survey(slim, max_repeats, weights)
     return _placed(counted, _plan(slim, sources, seed, shard_blocks), sources, seed)
 
@@ -195,7 +197,7 @@ def _keyed(rows: DataFrame, sources: list[Source], seed: int) -> DataFrame:
     """Rows with their source's columns and their block. Sources are at most MAX_SOURCES rows."""
     table = _source_table(rows.sparkSession, sources, seed)
     joined = rows.join(F.broadcast(table.withColumnRenamed("source", "_source")),
-                       F.col("source").cast("string").eqNullSafe(F.col("_source"))).drop("_source")
+                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     return joined.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("blocks")))
 
 
@@ -262,13 +264,12 @@ def _placed(counted: DataFrame, plan: DataFrame, sources: list[Source], seed: in
     copies = F.when(beyond, F.filter(copies, lambda c: c["turn"] < F.col("passes"))).otherwise(copies)
     placed = F.transform(copies, lambda c: F.struct(
         c["shard"].alias("shard"), F.xxhash64(F.lit(seed), c["shard"], c["turn"], F.col("doc_id")).alias("order")))
-    own = [F.col(f"`{c}`") for c in counted.columns if c != "size"]
     return flagged.withColumn("placed", placed).select(
-        *own, "size", "source_size", "target", (F.col("size") * F.size("placed")).alias("taken"), "placed")
+        "row.*", "size", "source_size", "target", (F.col("size") * F.size("placed")).alias("taken"), "placed")
 
 
 def shards(mixed: DataFrame) -> DataFrame:
     """One row per copy taken, each shard in its own partition and in the shard's order."""
-    rows = mixed.withColumn("_p", F.explode("placed")).drop("placed")
-    rows = rows.select(*[c for c in rows.columns if c != "_p"], "_p.shard", "_p.order")
-    return rows.repartition("shard").sortWithinPartitions("shard", "order")
+    kept = [c for c in mixed.columns if c.lower() not in ("placed", "shard", "order")]
+    rows = mixed.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.explode("placed").alias("at"))
+    return rows.select("row.*", "at.shard", "at.order").repartition("shard").sortWithinPartitions("shard", "order")
