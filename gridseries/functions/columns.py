@@ -97,35 +97,3 @@ def heat_index(temperature: Column, humidity: Column, variant: str = "master") -
 
 def year_norm(year: Column, first: int = 2010, last: int = 2024) -> Column:
     return (year - F.lit(first)) / F.lit(float(last - first))
-
-
-def order_numbers(column: str, data_type: T.DataType) -> tuple[list[Column], bool]:
-    """Doubles that, compared one after the other, order like the column; for cut points.
-
-    The flag says whether equal numbers always mean equal values. Whole numbers need a second double
-    beyond 2**53; text maps to its UTF-8 bytes, six (48 bits, exact in a double) at a time.
-    """
-    value = F.col(column)
-    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)):
-        return [value.cast("double")], True
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return _whole_numbers(F.unix_micros(value.cast("timestamp"))), True
-    if isinstance(data_type, T.LongType):
-        return _whole_numbers(value), True
-    if isinstance(data_type, T.DateType):
-        return [F.unix_date(value).cast("double")], True
-    if isinstance(data_type, T.BooleanType):
-        return [value.cast("int").cast("double")], True
-    if isinstance(data_type, T.StringType):
-        binary = value.cast("binary")
-        pieces = [F.rpad(F.hex(F.substring(binary, start, 6)), 12, "0") for start in (1, 7)]
-        return [F.conv(p, 16, 10).cast("double") for p in pieces], False
-    return [], False
-
-
-def _whole_numbers(value: Column) -> list[Column]:
-    rounded = value.cast("double")
-    exact = F.abs(value) <= F.lit(2 ** 53)
-    rest = F.when(exact, F.lit(0.0)).otherwise(
-        (value.cast("decimal(20,0)") - rounded.cast("decimal(20,0)")).cast("double"))
-    return [rounded, F.when(value.isNotNull(), rest)]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.operators.joins import salted_join
 from gridseries.schemas import TEMPERATURES
 
 PERIOD = (1981, 2010)
@@ -39,8 +38,7 @@ def anomalies(df: DataFrame, period: tuple[int, int] = PERIOD,
     present = [p for p in parameters if p in df.columns]
     normals = climatology(df, period, present)
     facts = df.drop("year", "month", *[c for c in df.columns if c.endswith("_baseline")])
-    joined = salted_join(facts.withColumn("month", F.month("time")), normals, ["location_id", "month"],
-                         spread_by=["time"])
+    joined = facts.withColumn("month", F.month("time")).join(normals, ["location_id", "month"], "left")
     return (
         joined.withColumns({f"{p}_anom": F.col(p) - F.col(f"{p}_baseline") for p in present})
         .drop("month", *[f"{p}_baseline" for p in present])

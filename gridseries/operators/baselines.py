@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.operators.joins import coordinate_keys, lookup_join, salted_join
+from gridseries.operators.joins import coordinate_keys, lookup_join
 from gridseries.operators.nearest import nearest_baseline
 from gridseries.schemas import require_columns
 
@@ -71,8 +71,8 @@ def exact_baseline(requests: DataFrame, baselines: DataFrame, stored: bool = Fal
 def _with_exact(requests: DataFrame, baselines: DataFrame, stored: bool) -> DataFrame:
     normals = baselines.select(*KEYS, "baseline_temp", "baseline_precip", F.lit(True).alias("_hit"))
     keyed = requests.withColumns(coordinate_keys(F.col("latitude"), F.col("longitude")))
-    join = lookup_join if stored else salted_join
-    return join(keyed, normals, KEYS).drop("lat_rounded", "lon_rounded")
+    joined = lookup_join(keyed, normals, KEYS) if stored else keyed.join(normals, KEYS, "left")
+    return joined.drop("lat_rounded", "lon_rounded")
 
 
 def lookup_baseline(requests: DataFrame, baselines: DataFrame, stored: bool = False) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.functions import columns as C
-from gridseries.operators.joins import salted_join
 from gridseries.operators.ordered import BLOCK_ROWS, lag_columns
 from gridseries.schemas import CONTINUOUS, LAG_MONTHS, LAGGED, TARGETS
 
@@ -78,24 +77,23 @@ def complete_rows(df: DataFrame) -> DataFrame:
 def deviation_from_mean(df: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """``<column>_anom``: the value minus the mean of its request.
 
-    A partial aggregate and a salted join instead of a window, so that one large request is spread.
+    A partial aggregate and a join instead of a window, so that one large request can be split.
     """
     chosen = columns or [t.removesuffix("_anom") for t in TARGETS]
     means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in chosen])
-    joined = salted_join(df, means, keys, spread_by=chosen)
+    joined = df.join(means, keys, "left")
     return (
         joined.withColumns({f"{c}_anom": F.col(c) - F.col(f"_mean_{c}") for c in chosen})
         .drop(*[f"_mean_{c}" for c in chosen])
     )
 
 
-def relative_year_norm(df: DataFrame, keys: list[str], year: str = "year",
-                       spread_by: list[str] | None = None) -> DataFrame:
+def relative_year_norm(df: DataFrame, keys: list[str], year: str = "year") -> DataFrame:
     """Min-max position of the year inside its request."""
     ends = df.groupBy(*keys).agg(F.min(year).alias("_first"), F.max(year).alias("_last"))
     span = F.col("_last") - F.col("_first") + F.lit(1e-8)
     return (
-        salted_join(df, ends, keys, spread_by=spread_by or [year])
+        df.join(ends, keys, "left")
         .withColumn("year_norm", (F.col(year) - F.col("_first")) / span)
         .drop("_first", "_last")
     )

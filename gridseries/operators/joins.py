@@ -1,8 +1,11 @@
-"""Equi joins of a large fact with a lookup table: checked broadcast, or a salted shuffle."""
+"""Equi joins of a large fact with a lookup table: a broadcast of measured size, else a shuffle.
 
-from __future__ import annotations
+A shuffled join leaves hot keys to adaptive execution (``spark.sql.adaptive.skewJoin``, on in ``build_session``), which
+splits the fact's rows of a key by their measured size and copies only that key's lookup rows. Lookup tables that are
+computed from the fact are joined plainly: measuring them first would compute them twice.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,52 +14,25 @@ from pyspark.sql import types as T
 from gridseries.functions.columns import half_even
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
-
-_SALT = "_salt"
 
 
 def fits_broadcast(dim: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure the lookup table: rows times fixed widths plus the bytes of its text."""
-    text = [f.name for f in dim.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    """Measure the lookup table: rows times fixed widths plus the bytes of its text and nested values."""
+    sized = {f.name: F.col(f.name) for f in dim.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))}
+    sized |= {f.name: F.to_json(F.struct(f.name)) for f in dim.schema
+              if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))}
     fixed = 16 + 16 * len(dim.columns)
     measured = dim.agg(
         F.count(F.lit(1)).alias("rows"),
-        sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text), F.lit(0)).alias("text"),
+        sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in sized.values()), F.lit(0)).alias("text"),
     ).first()
     return measured["rows"] * fixed + measured["text"] <= limit
 
 
-def spread(fact: DataFrame, spread_by: list[str] | None = None, salts: int = SALTS) -> Column:
-    """A salt from the row's content and its partition: it also separates equal rows that were read
-    by different tasks, and is the same again when a lost task is rerun (a row counter would not be)."""
-    nested = (T.ArrayType, T.MapType, T.StructType)
-    columns = spread_by or [f.name for f in fact.schema if not isinstance(f.dataType, nested)]
-    return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-
-
 def lookup_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
                 limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Join a stored lookup table: broadcast when its measured size allows, else salted."""
-    if fits_broadcast(dim, limit):
-        return fact.join(F.broadcast(dim), on, how)
-    return salted_join(fact, dim, on, how)
-
-
-def salted_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
-                spread_by: list[str] | None = None, salts: int = SALTS) -> DataFrame:
-    """Shuffle join in which the rows of one hot key go to ``salts`` tasks.
-
-    ``spread_by`` names columns that vary within a key; naming few keeps the others out of the scan.
-
-    For lookup tables that are computed from the fact, where measuring first would compute them twice:
-    adaptive execution still turns this into a broadcast when the shuffled size turns out small.
-    """
-    if how not in ("left", "inner"):
-        raise ValueError(f"only left and inner joins can salt the fact: {how}")
-    salted = fact.withColumn(_SALT, spread(fact, spread_by, salts))
-    copies = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, on + [_SALT], how).drop(_SALT)
+    """Join a stored lookup table: broadcast when its measured size allows, else shuffled."""
+    return fact.join(F.broadcast(dim) if fits_broadcast(dim, limit) else dim, on, how)
 
 
 def join_location_metadata(climate: DataFrame, locations: DataFrame) -> DataFrame:
@@ -73,7 +49,3 @@ def missing_locations(requested: DataFrame, landed: DataFrame) -> DataFrame:
 def coordinate_keys(latitude: Column, longitude: Column) -> dict[str, Column]:
     """Coordinates to two decimals; -0.0 becomes 0.0, so both sides of the equator meet."""
     return {"lat_rounded": half_even(latitude, 2), "lon_rounded": half_even(longitude, 2)}
-
-
-def null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridseries.operators.joins import salted_join
 
 # Cell edges in hundredths of a degree, fine to coarse.
 EDGES = (16, 256, 4096)
@@ -44,11 +43,7 @@ def nearest_baseline(requests: DataFrame, baselines: DataFrame) -> DataFrame:
         .agg(*[F.min(p).alias(p) for p in _POINT])
     )
     found = _search(asked, _pyramid(baselines))
-    values = baselines.select(
-        F.col("lat_rounded").alias("nearest_lat"), F.col("lon_rounded").alias("nearest_lon"),
-        F.col("month").cast("int").alias("_month"), "baseline_temp", "baseline_precip")
-    found = salted_join(found, values, ["nearest_lat", "nearest_lon", "_month"], "inner", spread_by=[_KEY])
-    return salted_join(keyed.drop(*_POINT), found.drop("_month"), [_KEY]).drop(_KEY)
+    return keyed.drop(*_POINT).join(found, [_KEY], "left").drop(_KEY)
 
 
 def _pyramid(baselines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -57,15 +52,15 @@ def _pyramid(baselines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         F.col("month").cast("int").alias("_month"),
         F.col("lat_rounded").alias("lat"), F.col("lon_rounded").alias("lon"),
         F.rint(F.col("lat_rounded") * 100).cast("long").alias("i"),
-        F.rint(F.col("lon_rounded") * 100).cast("long").alias("j"),
-    ).dropna()
+        F.rint(F.col("lon_rounded") * 100).cast("long").alias("j"), "baseline_temp", "baseline_precip",
+    ).dropna(subset=["_month", "lat", "lon"])
 
     def cell(edge: int) -> Column:
         return F.struct(F.floor(F.col("i") / edge).alias("i"), F.floor(F.col("j") / edge).alias("j"))
 
     leaves = (
         points.groupBy("_month", cell(EDGES[0]).alias("cell"))
-        .agg(F.collect_list(F.struct("lat", "lon")).alias("children"),
+        .agg(F.collect_list(F.struct("lat", "lon", "baseline_temp", "baseline_precip")).alias("children"),
              F.min("lat").alias("south"), F.max("lat").alias("north"),
              F.min("lon").alias("west"), F.max("lon").alias("east"))
     )
@@ -112,7 +107,7 @@ def _search(asked: DataFrame, pyramid: tuple[DataFrame, list[DataFrame]]) -> Dat
             # At most twelve times fifty cells of 256 boxes of about 50 bytes.
             joined = cells.join(F.broadcast(level), ["_month", "cell"])
         else:
-            joined = salted_join(cells, level, ["_month", "cell"], "inner", spread_by=[_KEY])
+            joined = cells.join(level, ["_month", "cell"])
         children = joined.select(*carried, F.explode("children").alias("box"))
         if depth < len(levels) - 1:
             near = children.where(_at_least(F.col("box")) <= F.col("_reach"))
@@ -123,14 +118,16 @@ def _search(asked: DataFrame, pyramid: tuple[DataFrame, list[DataFrame]]) -> Dat
             )
     distance = _distance(F.col("_lat") - F.col("box.lat"), F.col("_lon") - F.col("box.lon"))
     best = (
-        children.select(_KEY, "_month", "_reach", F.struct(
-            distance.alias("distance"), F.col("box.lat").alias("lat"), F.col("box.lon").alias("lon")).alias("point"))
+        children.select(_KEY, "_reach", F.struct(
+            distance.alias("distance"), F.col("box.lat").alias("lat"), F.col("box.lon").alias("lon"),
+            F.col("box.baseline_temp").alias("temp"), F.col("box.baseline_precip").alias("precip")).alias("point"))
         .where(F.col("point.distance") <= F.col("_reach"))
-        .groupBy(_KEY).agg(F.min("point").alias("best"), F.min("_month").alias("_month"))
+        .groupBy(_KEY).agg(F.min("point").alias("best"))
     )
     return best.select(
-        _KEY, "_month", F.col("best.lat").alias("nearest_lat"), F.col("best.lon").alias("nearest_lon"),
-        F.col("best.distance").alias("distance"))
+        _KEY, F.col("best.lat").alias("nearest_lat"), F.col("best.lon").alias("nearest_lon"),
+        F.col("best.distance").alias("distance"), F.col("best.temp").alias("baseline_temp"),
+        F.col("best.precip").alias("baseline_precip"))
 
 
 def _distance(dy: Column, dx: Column) -> Column:

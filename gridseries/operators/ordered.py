@@ -1,13 +1,13 @@
 """Order-dependent operators (lag, fills, interpolation, positions) that split hot groups.
 
-A plain window sends every row of a group to one task. Here a group with more than ``block_rows``
-rows is cut into ranges of its order key, each range is one window partition of its own, and what a
-range needs from its neighbours (a last value, a tail of rows, a row count) comes from a summary with
-one row per range. Groups below the limit keep the plain window. The whole table is one group when no
-keys are given.
-
-The cut points are collected once and used as constants, so a lost and recomputed task puts each row
-into the same range again. ``block_rows=None`` says that the caller knows the groups to be small.
+A plain window sends every row of a group to one task. Here, once a group has more than ``block_rows`` rows, the table is
+range-partitioned by keys and order and stored with the number of each row's range. Each range is a window partition of
+its own, and what a range needs from its neighbours (a last value, a tail of rows, a row count) comes from a summary
+with one row per range of the groups that lie in several ranges: about as many rows as there are ranges. Ranges take all
+order columns, of any type that Spark sorts, and at last the row itself, so equal order values are cut as well.
+
+The ranges are stored before they are used, so a lost and recomputed task finds each row in the same range again.
+``block_rows=None`` says that the caller knows the groups to be small; a whole table is never taken for one.
 """
 
 from __future__ import annotations
@@ -18,23 +18,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gridseries.functions.columns import order_numbers
+from gridseries.session import materialize
 
 BLOCK_ROWS = 2_000_000
-# Bounds on what reaches the driver and is broadcast: at most MAX_HOT groups are cut (the next largest
-# group then holds less than 1/MAX_HOT of all rows), into about MAX_BLOCKS ranges in all.
-MAX_HOT = 512
-MAX_BLOCKS = 8192
-MAX_CUTS = 1000
-
-_HOT = "_hot"
+_BLOCK, _TIE = "_block0", "_tie"
 
 
 @dataclass
 class Ranges:
-    """A frame whose hot groups carry range numbers in ``blocks`` (no block columns: nothing is hot)."""
+    """A frame with range numbers in ``blocks`` (no block columns: nothing is hot)."""
 
     df: DataFrame
     keys: list[str]
@@ -58,141 +51,49 @@ class Ranges:
         return Window.partitionBy(*parts).orderBy(*[F.desc(c) if reverse else F.asc(c) for c in self.blocks])
 
     def hot_rows(self) -> DataFrame:
-        return self.df.where(F.col(_HOT))
+        """The rows of groups in several ranges; there are fewer of those groups than ranges."""
+        if not self.keys:
+            return self.df
+        spans = self.df.groupBy(*self.keys).agg(F.min(_BLOCK).alias("_from"), F.max(_BLOCK).alias("_to")).where(
+            "_from < _to").select(*[F.col(c).alias(f"_s_{c}") for c in self.keys])
+        return self.df.join(spans, self._match(self.keys), "left_semi")
 
     def attach(self, summary: DataFrame, carried: list[str]) -> DataFrame:
-        """Bring the carried columns of the summary (at most about MAX_BLOCKS rows) to every row."""
-        renamed = summary.select(
-            *[F.col(c).alias(f"_s_{c}") for c in self.keys + self.blocks], *carried)
-        match = reduce(
-            lambda a, b: a & b,
-            [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in self.keys + self.blocks])
-        return (
-            self.df.join(F.broadcast(renamed), match, "left")
-            .drop(*[f"_s_{c}" for c in self.keys + self.blocks])
-        )
+        """Bring the carried columns of the summary to every row."""
+        names = self.keys + self.blocks
+        renamed = summary.select(*[F.col(c).alias(f"_s_{c}") for c in names], *carried)
+        return self.df.join(renamed, self._match(names), "left").drop(*[f"_s_{c}" for c in names])
+
+    @staticmethod
+    def _match(names: list[str]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in names])
 
     def done(self, df: DataFrame, *scratch: str) -> DataFrame:
-        return df.drop(*self.blocks, *scratch, _HOT)
+        return df.drop(*self.blocks, *scratch)
 
 
 def split_hot(df: DataFrame, keys: list[str], order: list[str],
               block_rows: int | None = BLOCK_ROWS) -> Ranges:
-    """Number the order ranges of hot groups: even numbers for the open ranges between cut points, odd
-    ones for single values (and -1 for NULL). A single value that is still hot is cut by the next order
-    column, and so on."""
-    types = {f.name: f.dataType for f in df.schema}
-    missing = [c for c in keys + order if c not in types]
+    """Number the ranges, in order, if any group has more than ``block_rows`` rows."""
+    missing = [c for c in keys + order if c not in df.columns]
     if missing:
         raise ValueError(f"unknown key or order columns: {missing}")
-    blocks: list[str] = []
     if block_rows is None:
-        return Ranges(df, keys, order, blocks)
-    limit = block_rows
-    numbers = _numbers(order, types)
-    while numbers:
-        number, unneeded_up_to = numbers.pop(0)
-        groups = keys + blocks
-        candidates = df.where(F.pmod(blocks[-1], F.lit(2)) == 1) if blocks else df
-        hot = _hot_groups(candidates, groups, limit)
-        if not hot:
-            break
-        cuts, heavy, largest = _cut_points(candidates, groups, number, hot, limit, types)
-        block = f"_block{len(blocks)}"
-        is_cut = F.col("_cuts").isNotNull()
-        single = F.coalesce(F.get("_cuts", F.col("_below")) == F.col("_number"), F.lit(False)).cast("int")
-        place = F.when(F.col("_number").isNull(), F.lit(-1)).otherwise(2 * F.col("_below") + single)
-        df = (
-            _with_cuts(df, groups, cuts).withColumn("_number", number)
-            .withColumn("_below", _count_below(max(len(c) for *_, c in cuts)))
-            .withColumn(block, F.when(is_cut, place).otherwise(F.lit(0)))
-            .withColumn(_HOT, F.col(_HOT) | is_cut if blocks else is_cut)
-            .drop("_cuts", "_number", "_below")
-        )
-        blocks = blocks + [block]
-        types[block] = T.IntegerType()
-        limit = 2 * block_rows
-        if not heavy:
-            break
-        if unneeded_up_to is not None and largest <= unneeded_up_to:
-            numbers.pop(0)
-    return Ranges(df, keys, order, blocks)
-
-
-def _numbers(order: list[str], types: dict[str, T.DataType]) -> list[tuple[Column, float | None]]:
-    """The numbers of the order columns one after the other, up to one that does not tell values apart.
-
-    With a number comes the size up to which it alone is exact, where a second one follows for the rest.
-    """
-    found: list[tuple[Column, float | None]] = []
-    for column in order:
-        numbers, exact = order_numbers(column, types[column])
-        rest_follows = exact and len(numbers) == 2
-        found += [(n, float(2 ** 53) if rest_follows and i == 0 else None) for i, n in enumerate(numbers)]
-        if not exact:
-            break
-    return found
-
-
-def _count_below(longest: int) -> Column:
-    """How many of the ascending ``_cuts`` are below ``_number``, by halving steps rather than one by one."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(longest.bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda found, step: found + F.when(
-        F.get("_cuts", found + step - 1) < F.col("_number"), step).otherwise(F.lit(0)))
-
-
-def _hot_groups(df: DataFrame, groups: list[str], limit: int) -> list:
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    return counts.orderBy(F.desc("_n")).limit(MAX_HOT).collect()
-
-
-def _cut_points(df, groups, number, hot, limit, types) -> tuple[list[tuple], bool, float]:
-    """One entry per hot group with its ascending cut points; collected, so that they stay the same.
-
-    Also whether one value (or NULL) may fill more than a range, and the largest size of a number.
-    """
-    spark = df.sparkSession
-    rows_per_block = max(limit, math.ceil(sum(r["_n"] for r in hot) / MAX_BLOCKS))
-    pieces = [min(MAX_CUTS, math.ceil(r["_n"] / rows_per_block)) for r in hot]
-    finest = max(max(pieces), 2)
-    shares = [i / finest for i in range(1, finest)]
-    fields = [T.StructField(f"_k_{c}", types[c]) for c in groups]
-    if groups:
-        wanted = spark.createDataFrame([tuple(r[c] for c in groups) for r in hot], T.StructType(fields))
-        match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in groups])
-        df = df.join(F.broadcast(wanted), match, "left_semi")
-    found = (
-        df.select(*groups, number.alias("_number"))
-        .groupBy(*groups)
-        .agg(F.percentile_approx("_number", shares, 10_000).alias("_cuts"),
-             F.count_if(F.col("_number").isNull()).alias("_nulls"),
-             F.max(F.abs("_number")).alias("_largest"))
-        .collect()
+        if not keys:
+            raise ValueError("a whole table is no small group: give block_rows")
+        return Ranges(df, keys, order, [])
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = counts.agg(F.max("_n").alias("largest"), F.sum("_n").alias("rows")).first()
+    if (sizes["largest"] or 0) <= block_rows:
+        return Ranges(df, keys, order, [])
+    # Ranges of half a block on average: they come from a sample, so some get larger.
+    pieces = math.ceil(2 * sizes["rows"] / block_rows)
+    placed = (
+        df.withColumn(_TIE, F.monotonically_increasing_id())
+        .repartitionByRange(pieces, *keys, *order, _TIE)
+        .withColumn(_BLOCK, F.spark_partition_id()).drop(_TIE)
     )
-    wanted_pieces = {tuple(r[c] for c in groups): max(p, 2) for r, p in zip(hot, pieces)}
-    data, heavy, largest = [], False, 0.0
-    for row in found:
-        group = tuple(row[c] for c in groups)
-        every = row["_cuts"] or []
-        pieces_here = wanted_pieces[group]
-        picked = [every[round(i * finest / pieces_here) - 1] for i in range(1, pieces_here)] if every else []
-        distinct = sorted(set(picked))
-        # With fewer than three pieces no two cut points could show a repeated value.
-        heavy = heavy or len(distinct) < len(picked) or pieces_here < 4 or row["_nulls"] > limit
-        largest = max(largest, row["_largest"] or 0.0)
-        data.append(group + (distinct,))
-    return data, heavy, largest
-
-
-def _with_cuts(df: DataFrame, groups: list[str], cuts: list[tuple]) -> DataFrame:
-    if not groups:
-        (values,) = cuts[0]
-        return df.withColumn("_cuts", F.array(*[F.lit(float(c)) for c in values]).cast("array<double>"))
-    fields = [T.StructField(f"_k_{c}", df.schema[c].dataType) for c in groups]
-    schema = T.StructType(fields + [T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in groups])
-    table = df.sparkSession.createDataFrame(cuts, schema)
-    return df.join(F.broadcast(table), match, "left").drop(*[f"_k_{c}" for c in groups])
+    return Ranges(materialize(placed, "ranges"), keys, order, [_BLOCK])
 
 
 def add_positions(df: DataFrame, name: str, keys: list[str], order: list[str],

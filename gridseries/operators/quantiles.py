@@ -12,7 +12,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 250_000
 GATHER_ROWS = 10_000
 ACCURACY = 10_000
 _MARGIN = 2.0 / ACCURACY
@@ -24,7 +23,7 @@ def _value(column: str) -> Column:
 
 
 def quantiles(df: DataFrame, columns: list[str], shares: list[float], exact: bool = True,
-              small_rows: int = SMALL_ROWS, gather_rows: int = GATHER_ROWS) -> dict[str, list[float | None]]:
+              gather_rows: int = GATHER_ROWS) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, NULL and NaN skipped, all columns per pass.
 
     ``exact=False`` gives sketch values instead: actual values of the column, one pass.
@@ -36,13 +35,16 @@ def quantiles(df: DataFrame, columns: list[str], shares: list[float], exact: boo
             F.percentile_approx(_value(c), shares, ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)
         ]).first()
         return {c: list(row[f"q{i}"] or [None] * len(shares)) for i, c in enumerate(columns)}
-    counts = count_values(df, columns)
-    if max(counts.values()) <= small_rows:
-        points = F.array(*[F.lit(float(s)) for s in shares])
-        row = df.agg(*[F.percentile(_value(c), points).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-        return {c: list(row[f"q{i}"] or [None] * len(shares)) for i, c in enumerate(columns)}
+    # One pass counts and brackets each rank: its share is known before the count is.
+    around = sorted({p for s in shares for p in (max(0.0, s - _MARGIN), min(1.0, s + _MARGIN))})
+    row = df.agg(*[f for i, c in enumerate(columns) for f in (
+        F.count(_value(c)).alias(f"n{i}"), F.percentile_approx(_value(c), around, ACCURACY).alias(f"p{i}"))]).first()
+    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    first = {c: dict(zip(around, row[f"p{i}"] or [])) for i, c in enumerate(columns)}
     ranks = {c: sorted(_ranks(counts[c], shares)) for c in columns if counts[c]}
-    found = order_statistics(df, ranks, counts, gather_rows)
+    likely = {(c, r): (first[c][max(0.0, s - _MARGIN)], first[c][min(1.0, s + _MARGIN)])
+              for c in ranks for s in shares for r in _ranks(counts[c], [s])}
+    found = order_statistics(df, ranks, counts, gather_rows, likely)
     return {c: [_interpolated(found.get(c, {}), counts[c], s) for s in shares] for c in columns}
 
 
@@ -57,13 +59,14 @@ def _ranks(count: int, shares: list[float]) -> set[int]:
 
 
 def _interpolated(values: dict[int, float], count: int, share: float) -> float | None:
+    """Between two ranks the mean weighted by nearness; equal ends as they are, so infinities stay infinite."""
     if not count:
         return None
     place = (count - 1) * share
     low, high = math.floor(place), math.ceil(place)
     if low == high or values[low] == values[high]:
         return values[low]
-    return values[low] + (values[high] - values[low]) * (place - low)
+    return (high - place) * values[low] + (place - low) * values[high]
 
 
 class _Bracket:
@@ -107,26 +110,28 @@ class _Bracket:
         return None
 
 
-def order_statistics(df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int],
-                     gather_rows: int = GATHER_ROWS) -> dict[str, dict[int, float]]:
-    """The values at 0-based ascending ranks, per column."""
+def order_statistics(df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int], gather_rows: int = GATHER_ROWS,
+                     likely: dict[tuple[str, int], tuple[float, float]] | None = None) -> dict[str, dict[int, float]]:
+    """The values at 0-based ascending ranks, per column. ``likely`` names values around a rank that a sketch gave."""
     found: dict[str, dict[int, float]] = {c: {} for c in ranks}
     open_brackets = [_Bracket(c, r, counts[c]) for c, wanted in ranks.items() for r in wanted]
+    likely = dict(likely or {})
     while open_brackets:
         gather = [b for b in open_brackets if b.inside <= gather_rows]
         probe = [b for b in open_brackets if b.inside > gather_rows]
+        ends = [likely.pop((b.column, b.rank), None) for b in probe]
+        asked = [b for b, known in zip(probe, ends) if known is None]
         # gather_rows bounds each collected list: the count inside the bracket is exact.
-        row = df.agg(
-            *[F.element_at(F.array_sort(F.collect_list(b.values())), b.rank - b.before + 1).alias(f"g{i}")
-              for i, b in enumerate(gather)],
-            *[F.percentile_approx(b.values(), b.probes(), ACCURACY).alias(f"p{i}")
-              for i, b in enumerate(probe)],
-        ).first()
+        first = [F.element_at(F.array_sort(F.collect_list(b.values())), b.rank - b.before + 1).alias(f"g{i}")
+                 for i, b in enumerate(gather)]
+        first += [F.percentile_approx(b.values(), b.probes(), ACCURACY).alias(f"p{i}") for i, b in enumerate(asked)]
+        row = df.agg(*first).first() if first else None
         for i, b in enumerate(gather):
             found[b.column][b.rank] = row[f"g{i}"]
         if not probe:
             break
-        ends = [row[f"p{i}"] for i in range(len(probe))]
+        fresh = iter(row[f"p{i}"] for i in range(len(asked))) if asked else iter(())
+        ends = [known or next(fresh) for known in ends]
         tests = []
         for i, (b, (left, right)) in enumerate(zip(probe, ends)):
             value = _value(b.column)

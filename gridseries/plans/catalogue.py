@@ -53,7 +53,7 @@ def _coverage(grid: DataFrame, places: DataFrame, south: float, west: float, ste
 
     counts = places.groupBy(snap("latitude", south).alias("latitude"), snap("longitude", west).alias("longitude")).agg(
         F.count(F.lit(1)).alias("places"))
-    return J.salted_join(grid, counts, ["latitude", "longitude"]).fillna(0, ["places"])
+    return grid.join(counts, ["latitude", "longitude"], "left").fillna(0, ["places"])
 
 
 @query
@@ -321,7 +321,7 @@ def describe(spark, folder):
 @query
 def describe_selected(spark, folder):
     frame = materialize(views.series(spark, folder), "series")
-    return rounded(P.describe(frame, PARAMETERS, small_rows=0, gather_rows=300), *_STATISTICS)
+    return rounded(P.describe(frame, PARAMETERS, gather_rows=300), *_STATISTICS)
 
 
 @query

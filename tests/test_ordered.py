@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import AnalysisException
 
 from gridseries.functions.columns import nan_to_null
 from gridseries.operators import ordered
@@ -83,12 +84,47 @@ def test_null_keys_and_null_order_values_stay(spark):
         assert sorted(r["y"] for r in got) == [1.0, 1.0, 3.0, 5.0, 5.0]
 
 
+def largest_range(ranges, keys):
+    assert ranges.blocks
+    return ranges.df.groupBy(*keys, *ranges.blocks).count().agg({"count": "max"}).first()[0]
+
+
 def test_no_task_gets_a_hot_group(spark):
     """Half of the rows share one key; after the cuts no window partition holds more than a few blocks."""
     table = spark.range(4000).selectExpr("case when id % 2 = 0 then 0 else id end as k", "id as t")
-    ranges = ordered.split_hot(table, ["k"], ["t"], 100)
-    largest = ranges.df.groupBy("k", *ranges.blocks).count().agg({"count": "max"}).first()[0]
-    assert ranges.blocks and largest < 200
+    assert largest_range(ordered.split_hot(table, ["k"], ["t"], 100), ["k"]) < 200
+
+
+def test_every_hot_group_is_cut(spark):
+    table = spark.range(60 * 700).selectExpr("id % 700 as k", "id as t")
+    assert largest_range(ordered.split_hot(table, ["k"], ["t"], 50), ["k"]) <= 100
+
+
+def test_ranges_do_not_grow_with_the_table(spark):
+    table = spark.range(40_000).selectExpr("id as t")
+    assert largest_range(ordered.split_hot(table, [], ["t"], 80), []) <= 160
+
+
+@pytest.mark.parametrize("order", [["s"], ["d"], ["same"], ["same", "s"]])
+def test_any_order_column_is_cut(spark, order):
+    """Texts with a long common start, decimals, equal values."""
+    table = spark.range(6000).selectExpr(
+        "concat('a long common start of all texts ', lpad(id, 9, '0')) as s", "cast(id as decimal(30,4)) as d", "1 as same")
+    assert largest_range(ordered.split_hot(table, [], order, 100), []) <= 200
+
+
+def test_categories_with_a_common_start_are_cut(spark, small):
+    names = spark.read.parquet(f"{small}/customer.parquet").selectExpr("'c_name' as column", "c_name as category")
+    ranges = ordered.split_hot(names, ["column"], ["category"], 30)
+    assert largest_range(ranges, ["column"]) <= 60
+
+
+def test_what_cannot_be_cut_is_refused(spark):
+    table = spark.range(10).selectExpr("id as k", "map(id, id) as m")
+    with pytest.raises(AnalysisException):
+        ordered.split_hot(table, [], ["m"], 5)
+    with pytest.raises(ValueError, match="whole table"):
+        ordered.split_hot(table, [], ["k"], None)
 
 
 def test_edges_by_hand(spark):

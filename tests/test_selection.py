@@ -24,7 +24,7 @@ def values():
     return pdf
 
 
-@pytest.mark.parametrize("options", [{}, {"small_rows": 0}, {"small_rows": 0, "gather_rows": 5}])
+@pytest.mark.parametrize("options", [{}, {"gather_rows": 40}, {"gather_rows": 5}])
 def test_quantiles(spark, values, options):
     table = spark.createDataFrame(values).repartition(6)
     got = quantiles.quantiles(table, list("abcd"), SHARES, **options)
@@ -99,15 +99,20 @@ def test_lookup_join_same_with_and_without_broadcast(spark):
     fact = spark.range(1000).selectExpr("case when id % 3 = 0 then 1 else id end as k", "id as v")
     dim = spark.range(900).selectExpr("id as k", "concat('n', id) as name")
     broadcast = joins.lookup_join(fact, dim, ["k"])
-    salted = joins.lookup_join(fact, dim, ["k"], limit=0)
-    assert "_salt" in salted._jdf.queryExecution().toString()
+    shuffled = joins.lookup_join(fact, dim, ["k"], limit=0)
     key = lambda r: (r["k"], r["v"])
-    assert sorted(broadcast.collect(), key=key) == sorted(salted.collect(), key=key)
-    assert salted.count() == 1000
+    assert sorted(broadcast.collect(), key=key) == sorted(shuffled.collect(), key=key)
+    assert shuffled.count() == 1000
 
 
-def test_salted_join_spreads_equal_rows(spark):
-    fact = spark.range(0, 800, 1, 8).selectExpr("1 as k")
-    dim = spark.createDataFrame([(1, "x")], "k int, name string")
-    assert joins.salted_join(fact, dim, ["k"]).count() == 800
-    assert fact.select(joins.spread(fact)).distinct().count() > 1
+def test_nested_columns_count_for_a_broadcast(spark):
+    dim = spark.range(10).selectExpr("id as k", "sequence(0, 2000) as a", "map('x', repeat('y', 2000)) as m")
+    assert not joins.fits_broadcast(dim, 50_000) and joins.fits_broadcast(dim, 500_000)
+
+
+def test_one_hot_key_is_joined_without_copies_of_the_lookup_table(spark):
+    fact = spark.range(0, 4000, 1, 8).selectExpr("if(id % 10 = 0, id, 7) as k", "id as v")
+    dim = spark.range(4000).selectExpr("id as k", "id * 2 as w")
+    joined = joins.lookup_join(fact, dim, ["k"], limit=0)
+    assert joined.where("w = k * 2").count() == 4000
+    assert "Generate" not in joined._jdf.queryExecution().toString()
