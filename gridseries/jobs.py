@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridseries.operators.baselines import lookup_baseline, monthly_normals, normals_by_month, normals_statistics
 from gridseries.operators.evaluate import overall_loss, regression_metrics
@@ -15,7 +16,7 @@ from gridseries.plans.master import master_dataset
 from gridseries.plans.scenario import assert_ranges, expand_months, predicted_values, prediction_records, scenario_features
 from gridseries.plans.scoring import AnomalyModel, fit_anomaly_model, prediction_errors, split_rows
 from gridseries.schemas import CLIMATE, MASTER, SCENARIO
-from gridseries.session import build_session, path_exists
+from gridseries.session import build_session, path_exists, scratch_removed
 from gridseries.sources import grids, manifests, responses, tables
 from gridseries.streaming.landing import start_scoring
 
@@ -102,7 +103,8 @@ def predict_requests(spark: SparkSession, requests: DataFrame, model_folder: str
 def train(spark: SparkSession, input_path: str, model_folder: str, kind: str = "gbt") -> DataFrame:
     """Fit on 70 % of a model-ready table; gives the metrics on the test part."""
     rows = split_rows(spark.read.parquet(input_path), ["location_id", "time"])
-    model = fit_anomaly_model(rows.where("part = 'train'"), kind)
+    model = fit_anomaly_model(rows.where("part <> 'test'").withColumn("_held", F.col("part") == "validation"), kind,
+                              validation="_held")
     model.save(spark, model_folder)
     return regression_metrics(model.predict(rows.where("part = 'test'")))
 
@@ -172,7 +174,9 @@ def main(arguments: list[str] | None = None) -> None:
     job.add_argument("--forever", action="store_true")
 
     options = parser.parse_args(arguments)
-    run(build_session(), options)
+    spark = build_session()
+    with scratch_removed(spark):
+        run(spark, options)
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:

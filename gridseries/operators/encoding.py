@@ -12,8 +12,8 @@ from gridseries.session import materialize
 
 # Up to this many categories of a column become a constant in the plan; more are joined.
 LITERAL_CATEGORIES = 1000
-# One-hot needs a column per category; beyond this the schema itself is unworkable.
-ONEHOT_CATEGORIES = 5000
+# Up to this many categories of a column get a 0/1 column each; more become one sparse vector column.
+ONEHOT_COLUMNS = 500
 
 METHODS = ("onehot", "label")
 
@@ -80,24 +80,37 @@ def apply_labels(df: DataFrame, categories: DataFrame, columns: list[str] | None
     return df
 
 
-def onehot_categories(categories: DataFrame) -> dict[str, list[str]]:
-    """The categories that get a column: all but the first of each source column."""
-    rows = categories.where("code > 0").limit(ONEHOT_CATEGORIES + 1).collect()
-    if len(rows) > ONEHOT_CATEGORIES:
-        raise ValueError(f"more than {ONEHOT_CATEGORIES} categories: use label codes")
-    kept: dict[str, list[str]] = {c: [] for c in fitted_columns(categories)}
-    for row in sorted(rows, key=lambda r: (r["column"], r["code"])):
+def onehot_categories(categories: DataFrame) -> tuple[dict[str, list[str]], dict[str, int]]:
+    """Categories that get a column (all but the first of each source column), and the sizes of columns with too many."""
+    sizes = {r["column"]: r["n"] for r in categories.groupBy("column").agg(F.max("code").alias("n")).collect()}
+    few = sorted(c for c, n in sizes.items() if n <= ONEHOT_COLUMNS)
+    kept: dict[str, list[str]] = {c: [] for c in few}
+    # At most ONEHOT_COLUMNS rows per column reach the driver.
+    for row in categories.where(F.col("column").isin(few) & (F.col("code") > 0)).orderBy("column", "code").collect():
         kept[row["column"]].append(row["category"])
-    return kept
+    return kept, {c: n for c, n in sorted(sizes.items()) if n > ONEHOT_COLUMNS}
 
 
 def apply_onehot(df: DataFrame, categories: DataFrame) -> DataFrame:
-    """0/1 columns ``<column>_<category>`` for the stored categories; sources go, NULL and unknown give 0."""
-    kept = onehot_categories(categories)
+    """0/1 columns ``<column>_<category>`` for the stored categories; sources go, NULL and unknown give 0.
+
+    A column with more than ONEHOT_COLUMNS categories gives ``<column>_onehot`` instead: size, indices and values of a sparse
+    vector, index 0 for the second category.
+    """
+    kept, large = onehot_categories(categories)
     added = {
         f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, values in kept.items() for v in values
     }
-    return df.withColumns(added).drop(*kept) if added else df.drop(*kept)
+    df = (df.withColumns(added) if added else df).drop(*kept)
+    for c, size in large.items():
+        renamed = categories.where(F.col("column") == c).select(F.col("category").alias(c), (F.col("code") - 1).alias("_at"))
+        hot = F.col("_at") >= 0
+        vector = F.struct(
+            F.lit(size).cast("bigint").alias("size"),
+            F.when(hot, F.array("_at")).otherwise(F.array().cast("array<bigint>")).alias("indices"),
+            F.when(hot, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+        df = lookup_join(df, renamed, [c]).withColumn(f"{c}_onehot", vector).drop(c, "_at")
+    return df
 
 
 def encode_categorical(df: DataFrame, method: str = "onehot", columns: list[str] | None = None,

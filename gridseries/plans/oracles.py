@@ -803,7 +803,11 @@ from scored group by location_id
 
 _add("response_records", "series", f"""
 with {_JUDGED} select location_id, count(*) as samples, count(*)::INTEGER as listed, min(date) as first_date,
-  {r('max(T2M_p)')} as temperature_anomaly_max from scored group by location_id
+  max(date) as last_date, {r('sum(T2M)')} as actual_total, {_list(*[
+    f"{r(f'{f}({p})')} as {n}_{label}" for n, p in (("temperature_anomaly", "T2M_p"), ("precipitation_anomaly", "PRECTOTCORR_p"))
+    for f, label in (("avg", "mean"), ("stddev_pop", "std"), ("min", "min"), ("max", "max"))])}
+from (select s.*, j.T2M from scored s join (select location_id, strftime(time, '%Y-%m') as date, T2M from judged) j
+  using (location_id, date)) group by location_id
 """)
 
 _add("error_histogram", "", f"""
@@ -825,5 +829,41 @@ select location_id, request, date, {r('a')} as temperature_anomaly, {r('b')} as
 """)
 
 
+_add("onehot_many", "", """
+with sorted as (select distinct c_name from customer), coded as (select c_name, row_number() over (order by c_name) - 2 as index from sorted)
+select c_custkey, (select count(*) - 1 from sorted) as size, index from customer join coded using (c_name)
+""")
+
+
+_PLACE = "(location_id * 7 + year(time) * 13 + month(time) * 3) % 20"
+_LINE = f"""
+parted as (select *, case when {_PLACE} < 14 then 'train' when {_PLACE} < 17 then 'validation' else 'test' end as part
+  from ({_DEVIATION})),
+line as (select {_list(*[f"regr_slope({t}, T2M) as {t}_a, regr_intercept({t}, T2M) as {t}_b" for t in (
+    "T2M_anom", "PRECTOTCORR_anom")])} from parted where part = 'train'),
+fitted as (select parted.*, T2M * T2M_anom_a + T2M_anom_b as tp, T2M * PRECTOTCORR_anom_a + PRECTOTCORR_anom_b as pp
+  from parted, line)
+"""
+
+_add("score_model", "series", f"""
+with {_LINE} select location_id, time as date, part, {r('T2M_anom')} as T2M_anom, {r('PRECTOTCORR_anom')} as PRECTOTCORR_anom,
+  {r('tp')} as T2M_anom_predicted, {r('pp')} as PRECTOTCORR_anom_predicted, {r('T2M_anom - tp')} as T2M_error,
+  {r('PRECTOTCORR_anom - pp')} as PRECTOTCORR_error from fitted
+""")
+
+_add("predict_windows", "series", f"""
+with {_LINE} select location_id, strftime(time, '%Y-%m') as date, {r('tp')} as temperature_anomaly,
+  {r('pp')} as precipitation_anomaly, {r('T2M')} as actual_temperature, {r('PRECTOTCORR')} as actual_precipitation from fitted
+""")
+
+_add("model_metrics", "series", f"""
+with rows as (select month(time) as m from series where {_PLACE} >= 17),
+steps as (select unnest(['T2M_anom', 'PRECTOTCORR_anom']) as target,
+  unnest([case when m <= 6 then 1.0 else 3.0 end, case when m <= 3 then -2.0 else 0.5 end])::DOUBLE as y from rows)
+select target, avg(abs(y - y)) as mae, sqrt(avg((y - y) * (y - y))) as rmse, 1 - avg((y - y) * (y - y)) / var_pop(y) as r2
+from steps group by target
+""")
+
+
 def all_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -54,24 +54,34 @@ class AnomalyModel:
             scaler, {t: PipelineModel.load(f"{folder}/{t}").stages[0] for t in targets}, features)
 
 
-def split_rows(df: DataFrame, keys: list[str], shares: tuple[float, float] = (0.70, 0.15)) -> DataFrame:
-    """Add ``part``: train, validation or test, by a hash of the keys, the same in every run."""
-    place = F.pmod(F.xxhash64(*keys), F.lit(10_000)) / 10_000
+def split_rows(df: DataFrame, keys: list[str], shares: tuple[float, float] = (0.70, 0.15),
+               place: Column | None = None) -> DataFrame:
+    """Add ``part``: train, validation or test, by ``place`` from 0 to 1, or a hash of the keys, the same in every run."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(10_000)) / 10_000 if place is None else place
     train, validation = shares
     return df.withColumn(
         "part", F.when(place < train, "train").when(place < train + validation, "validation").otherwise("test"))
 
 
 def fit_anomaly_model(df: DataFrame, kind: str = "linear", features: list[str] = FEATURES,
-                      targets: list[str] = TARGETS, **options) -> AnomalyModel:
-    """Scale the features and fit one regressor per target on the complete rows."""
+                      targets: list[str] = TARGETS, validation: str | None = None, **options) -> AnomalyModel:
+    """Scale the features and fit one regressor per target on the complete rows.
+
+    ``validation`` names a boolean column: its rows do not train, they end the boosting where their loss stops falling.
+    The scaler and a linear fit leave them out.
+    """
     if kind not in REGRESSORS:
         raise ValueError(f"unknown regressor: {kind}")
-    chosen = df.select(*features, *targets).dropna("any")
-    scaler = fit_scaler(chosen, "standard", list(features))
-    scaled = chosen.select(*[e.alias(c) for c, e in scaler.expressions().items()], *targets)
+    marked = df.select(*features, *targets, (F.col(validation) if validation else F.lit(False)).alias("_validation"))
+    chosen = marked.dropna("any")
+    scaler = fit_scaler(chosen.where("not _validation"), "standard", list(features))
+    scaled = chosen.select(*[e.alias(c) for c, e in scaler.expressions().items()], *targets, "_validation")
     assembled = VectorAssembler(inputCols=list(features), outputCol="_features").transform(scaled)
-    assembled = assembled.select("_features", *targets).persist()
+    if validation and kind == "gbt":
+        options["validationIndicatorCol"] = "_validation"
+    else:
+        assembled = assembled.where("not _validation")
+    assembled = assembled.select("_features", *targets, "_validation").persist()
     try:
         regressors = {
             t: REGRESSORS[kind](featuresCol="_features", labelCol=t, predictionCol=f"_{t}", **options).fit(assembled)
@@ -109,18 +119,22 @@ def score_windows(rows: DataFrame, request: list[str], predict, scaler: Scaler |
 def prediction_summary(scored: DataFrame, request: list[str],
                        columns: tuple[str, ...] = ("temperature_anomaly", "precipitation_anomaly")) -> DataFrame:
     """Mean, population deviation, minimum and maximum of each prediction, per request."""
-    return scored.groupBy(*request).agg(
-        F.count(F.lit(1)).alias("samples"),
-        *[agg(c).alias(f"{c}_{name}") for c in columns for name, agg in (
-            ("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))])
+    return scored.groupBy(*request).agg(*_summary(columns))
+
+
+def _summary(columns: tuple[str, ...]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("samples"), *[agg(c).alias(f"{c}_{name}") for c in columns for name, agg in (
+        ("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))]]
 
 
-def response_records(scored: DataFrame, request: list[str]) -> DataFrame:
-    """The nested answer per request; a request covers at most sixty months, which bounds the list."""
+def response_records(scored: DataFrame, request: list[str], most: int = 60) -> DataFrame:
+    """The nested answer per request: list and summary in one aggregate. A request over ``most`` months is an error."""
     entry = F.struct("date", "temperature_anomaly", "precipitation_anomaly",
                      "actual_temperature", "actual_precipitation")
-    lists = scored.groupBy(*request).agg(F.array_sort(F.collect_list(entry)).alias("predictions"))
-    return lists.join(prediction_summary(scored, request), request)
+    answers = scored.groupBy(*request).agg(
+        F.array_sort(F.collect_list(entry)).alias("predictions"), *_summary(("temperature_anomaly", "precipitation_anomaly")))
+    too_long = F.raise_error(F.concat(F.lit(f"a request has more than {most} months: "), F.col("samples").cast("string")))
+    return answers.withColumn("samples", F.when(F.col("samples") > most, too_long.cast("bigint")).otherwise(F.col("samples")))
 
 
 def latest_rows(df: DataFrame, keys: list[str], order_by: list[str], count: int = 3) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_scratch: dict[str, list[str]] = {}
+
 
 def build_session(app_name: str = "gridseries", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -30,28 +33,23 @@ def build_session(app_name: str = "gridseries", master: str | None = None,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names, set on the context as checkpoint folder.
+    """The folder that ``spark.checkpoint.dir`` names; a session that names none uses its warehouse, which is shared too.
 
-    Only a local-mode session that names none gets a temporary folder; a cluster must name one,
-    because a machine-local folder is lost with its machine.
+    It is set on the context as checkpoint folder where the context has none.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(CHECKPOINT_SETTING)
-    if not folder:
-        folder = context.getCheckpointDir()
-        if folder:
-            return folder
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="gridseries-")
+    folder = folder or context.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_handover"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, remembered until ``remove_scratch``."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -61,6 +59,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has handed over between its steps; frames that read it can't be used any more."""
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Around a whole job: its hand-over tables go at the end, also when it fails."""
+    try:
+        yield
+    finally:
+        remove_scratch(spark)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system its scheme names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

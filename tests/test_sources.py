@@ -7,6 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from gridseries import session
 from gridseries.operators.joins import missing_locations
 from gridseries.schemas import CLIMATE, LOCATION
 from gridseries.sources import grids, manifests, responses, tables
@@ -136,3 +137,34 @@ def test_year_filter_reaches_the_scan(spark, tmp_path):
     tables.write_master(frame, path)
     plan = spark.read.parquet(path).where("year = 2020").select("T2M")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "ReadSchema: struct<T2M:double>" in plan
+
+
+def test_handed_over_tables_go_with_their_job(spark):
+    frame = spark.range(5)
+    with pytest.raises(RuntimeError), session.scratch_removed(spark):
+        path = session.scratch_path(spark, "probe")
+        frame.write.parquet(path)
+        assert session.path_exists(spark, path)
+        raise RuntimeError("the job fails")
+    assert not session.path_exists(spark, path)
+    assert not session._scratch.get(spark.sparkContext.applicationId)
+
+
+def test_sessions_without_a_named_folder_use_the_warehouse(spark, monkeypatch):
+    class Named:
+        applicationId = "none"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, path):
+            self.path = path
+
+    class Session:
+        sparkContext = Named()
+        conf = {"spark.sql.warehouse.dir": "hdfs://x/warehouse/"}
+
+    assert session.shared_folder(Session()) == "hdfs://x/warehouse/_handover" == Session.sparkContext.path
