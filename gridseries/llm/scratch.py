@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from gridseries import session
+
 
 def folder(spark: SparkSession) -> str:
-    """A fresh path in the shared folder; a session that names none uses its warehouse, which is shared as well."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    shared = shared or spark.sparkContext.getCheckpointDir()
-    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_handover"
-    return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; ``session.remove_scratch`` deletes it with all others of the application."""
+    return session.scratch_path(spark, "llm")
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Write a frame and read it back: a short lineage that survives lost executors."""
-    path = folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return session.materialize(df, "llm")
