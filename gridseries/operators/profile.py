@@ -102,8 +102,11 @@ def describe_times(df: DataFrame, columns: list[str] | None = None, exact: bool
     chosen = columns or [
         f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
     micros = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in chosen])
+    # A mean of doubles this large would be off by microseconds: whole numbers are added up and divided once.
+    means = micros.agg(*[F.expr(f"sum(cast(`{c}` as decimal(38,0))) div count(`{c}`)").alias(c) for c in chosen]).first()
     table = describe(micros, chosen, exact)
-    return table.select("column", "count", *[
+    exact_mean = F.create_map(*[F.lit(v) for c in chosen for v in (c, means[c])]).cast("map<string,bigint>")
+    return table.withColumn("mean", F.try_element_at(exact_mean, F.col("column"))).select("column", "count", *[
         F.timestamp_micros(F.col(c).cast("bigint")).alias(c) for c in ("mean", "min", "p25", "p50", "p75", "max")
     ])
 

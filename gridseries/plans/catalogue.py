@@ -326,7 +326,7 @@ def describe_selected(spark, folder):
 
 @query
 def describe_times(spark, folder):
-    return P.describe_times(views.unique_dirty(spark, folder).select("time")).drop("mean")
+    return P.describe_times(views.unique_dirty(spark, folder).select("time"))
 
 
 @query
@@ -562,9 +562,41 @@ def label_encode_many(spark, folder):
 
 @query
 def clean_all(spark, folder):
-    cleaned, _ = cleaning.clean(views.dirty(spark, folder), order_by=["event_id"], with_report=False,
+    """The whole training run, with profile, validation and stored artifacts."""
+    return rounded(_cleaned(spark, folder)[0], *_CLEANED)
+
+
+_CLEANED = ["event_id", "T2M", "RH2M", "PRECTOTCORR", "season"]
+
+
+def _cleaned(spark, folder) -> tuple[DataFrame, str]:
+    models = scratch_path(spark, "models")
+    cleaned, _ = cleaning.clean(views.dirty(spark, folder), order_by=["event_id"], artifacts_folder=models,
                                 block_rows=SMALL_TABLE_BLOCK)
-    return rounded(cleaned, "event_id", "T2M", "RH2M", "PRECTOTCORR", "season")
+    return cleaned, models
+
+
+@query
+def clean_apply(spark, folder):
+    """Inference: the encoder and scaler of an earlier run are read back and applied."""
+    fitted = artifacts.load_artifacts(spark, _cleaned(spark, folder)[1])
+    applied, _ = cleaning.clean(views.dirty(spark, folder), fitted, order_by=["event_id"], with_report=False,
+                                block_rows=SMALL_TABLE_BLOCK)
+    return rounded(applied, *_CLEANED)
+
+
+@query
+def clean_report(spark, folder):
+    """The stored report of a training run, one row per figure."""
+    report = artifacts.load_artifacts(spark, _cleaned(spark, folder)[1]).report
+    quality, final = report["quality"], report["validation"]
+    rows = [("missing", c, float(x["count"])) for c, x in quality["missing_values"].items()]
+    rows += [("infinite", c, float(x)) for c, x in quality["inf_values"].items()]
+    rows += [("duplicates", "all", float(quality["duplicates"]["count"]))]
+    rows += [("validation", name, float(final[name])) for name in (
+        "total_rows", "total_columns", "missing_values", "duplicate_rows", "infinite_values", "passed")]
+    rows += [("deviation", c, float(x["std"])) for c, x in final["statistics"].items() if c in _CLEANED]
+    return rounded(spark.createDataFrame(rows, "section string, item string, value double"), "value")
 
 
 # Scenarios

@@ -384,7 +384,8 @@ _add("describe", "series", _DESCRIBE)
 _add("describe_selected", "series", _DESCRIBE)
 
 _add("describe_times", "unique_dirty", """
-select 'time' as "column", count(time) as count, min(time) as min,
+select 'time' as "column", count(time) as count, make_timestamp((sum(epoch_us(time)::HUGEINT) // count(time))::BIGINT) as mean,
+  min(time) as min,
   make_timestamp(quantile_cont(epoch_us(time)::DOUBLE, 0.25)::BIGINT) as p25,
   make_timestamp(quantile_cont(epoch_us(time)::DOUBLE, 0.5)::BIGINT) as p50,
   make_timestamp(quantile_cont(epoch_us(time)::DOUBLE, 0.75)::BIGINT) as p75, max(time) as max
@@ -632,8 +633,8 @@ select c_custkey, {_CODE.format(c='c_name')} as c_name, {_CODE.format(c='c_mktse
 """)
 
 _SCALED = ["event_id", "T2M", "RH2M", "PRECTOTCORR", "season"]
-_add("clean_all", "unique_dirty dirty", f"""
-with {_smart('dirty')},
+_CLEANED = f"""
+{_smart('dirty')},
 cleared as (select * replace (case when not isinf(T2M) then T2M end as T2M) from smart),
 center as (select quantile_cont(T2M, 0.5) as m from cleared),
 filled as (select * exclude (m) replace (coalesce(T2M, m) as T2M) from cleared, center),
@@ -645,8 +646,33 @@ treated as (
   select event_id, location_id, time,
     {_list(*[_CLIPPED.format(c=c) + f' as {c}' for c in ('T2M', 'RH2M', 'PRECTOTCORR')])},
     dense_rank() over (order by season) - 1 as season from uniform, bounds),
+untreated as (select event_id, location_id, time, T2M, RH2M, PRECTOTCORR,
+    dense_rank() over (order by season) - 1 as season from uniform),
 stats as (select {_list(*[f"avg({c}) as {c}_c, stddev_pop({c}) as {c}_s" for c in _SCALED])} from treated)
-select location_id, time, {_list(*[f"{r(f'({c} - {c}_c) / {c}_s')} as {c}" for c in _SCALED])} from treated, stats
+"""
+_SCALES = _list(*[f"{r(f'({c} - {c}_c) / {c}_s')} as {c}" for c in _SCALED])
+
+_add("clean_all", "unique_dirty dirty", f"with {_CLEANED} select location_id, time, {_SCALES} from treated, stats")
+_add("clean_apply", "unique_dirty dirty", f"with {_CLEANED} select location_id, time, {_SCALES} from untreated, stats")
+_add("clean_report", "unique_dirty dirty", f"""
+with {_CLEANED},
+scaled as (select location_id, time, {_list(*[f"({c} - {c}_c) / {c}_s as {c}" for c in _SCALED])} from treated, stats),
+gaps as ({' union all '.join(f"select 'missing' as section, '{c}' as item, count(*) filter ({c} is null) as value from dirty"
+                             for c in ('T2M', 'RH2M', 'PRECTOTCORR', 'season'))}),
+rows as (
+  select * from gaps where value > 0
+  union all select 'infinite', 'T2M', count(*) filter (isinf(T2M)) from dirty
+  union all select 'duplicates', 'all', count(*) - (select count(*) from (select distinct * from dirty)) from dirty
+  union all select 'validation', 'total_rows', count(*) from scaled
+  union all select 'validation', 'total_columns', 7
+  union all select 'validation', 'missing_values', {' + '.join(f'count(*) filter ({c} is null)' for c in _SCALED)} from scaled
+  union all select 'validation', 'duplicate_rows', count(*) - (select count(*) from (select distinct * from scaled)) from scaled
+  union all select 'validation', 'infinite_values', 0
+  union all select 'validation', 'passed', case when {' + '.join(f'count(*) filter ({c} is null)' for c in _SCALED)} = 0
+    then 1 else 0 end from scaled),
+spread as ({' union all '.join(f"select 'deviation' as section, '{c}' as item, stddev_samp({c}) as value from scaled"
+                               for c in _SCALED)})
+select section, item, {r('value::DOUBLE')} as value from rows union all select section, item, {r('value')} from spread
 """)
 
 # Scenarios
