@@ -48,9 +48,15 @@ def nearest_baseline(requests: DataFrame, baselines: DataFrame) -> DataFrame:
 
 def _pyramid(baselines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """The coarse cells per month, and per level (coarse to fine) the children of each cell."""
+    lat, lon = F.col("lat_rounded"), F.col("lon_rounded")
+    off = (F.abs(lat * 100 - F.rint(lat * 100)) > 1e-6) | (F.abs(lon * 100 - F.rint(lon * 100)) > 1e-6)
+    off = off | (F.abs(lat) > 90) | (F.abs(lon) > 360)
+    place = F.concat(F.lit("a baseline is off the lattice of 0.01 degrees or the globe: "), lat.cast("string"),
+                     F.lit(", "), lon.cast("string"))
+    # The lists below are bounded because of this.
     points = baselines.select(
         F.col("month").cast("int").alias("_month"),
-        F.col("lat_rounded").alias("lat"), F.col("lon_rounded").alias("lon"),
+        F.when(off, F.raise_error(place).cast("double")).otherwise(lat).alias("lat"), lon.alias("lon"),
         F.rint(F.col("lat_rounded") * 100).cast("long").alias("i"),
         F.rint(F.col("lon_rounded") * 100).cast("long").alias("j"), "baseline_temp", "baseline_precip",
     ).dropna(subset=["_month", "lat", "lon"])
@@ -60,7 +66,7 @@ def _pyramid(baselines: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
     leaves = (
         points.groupBy("_month", cell(EDGES[0]).alias("cell"))
-        .agg(F.collect_list(F.struct("lat", "lon", "baseline_temp", "baseline_precip")).alias("children"),
+        .agg(F.collect_set(F.struct("lat", "lon", "baseline_temp", "baseline_precip")).alias("children"),
              F.min("lat").alias("south"), F.max("lat").alias("north"),
              F.min("lon").alias("west"), F.max("lon").alias("east"))
     )

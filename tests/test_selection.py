@@ -81,6 +81,15 @@ def test_nearest_tie_takes_the_smaller_place(spark):
     assert nearest.nearest_baseline(asked, places).first()["baseline_temp"] == 1.0
 
 
+def test_baselines_off_the_lattice_are_refused(spark):
+    asked = spark.createDataFrame([(10.0, 21.0, 1)], "latitude double, longitude double, month int")
+    for lat, lon in ((10.001, 20.0), (91.0, 20.0)):
+        places = spark.createDataFrame(
+            [(lat, lon, 1, 1.0, 0.0)], "lat_rounded double, lon_rounded double, month int, baseline_temp double, baseline_precip double")
+        with pytest.raises(Exception, match="lattice"):
+            nearest.nearest_baseline(asked, places).collect()
+
+
 def test_lookup_prefers_the_exact_place_and_meets_negative_zero(spark):
     facts = spark.createDataFrame(
         [(-0.001, 5.0, 1, 10.0, 1.0), (0.002, 5.0, 1, 20.0, 3.0), (50.0, 6.0, 2, 7.0, 2.0), (None, 6.0, 2, 7.0, 2.0)],
