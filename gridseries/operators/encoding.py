@@ -80,24 +80,24 @@ def apply_labels(df: DataFrame, categories: DataFrame, columns: list[str] | None
     return df
 
 
-def onehot_categories(categories: DataFrame) -> tuple[dict[str, list[str]], dict[str, int]]:
+def onehot_categories(categories: DataFrame, most: int = ONEHOT_COLUMNS) -> tuple[dict[str, list[str]], dict[str, int]]:
     """Categories that get a column (all but the first of each source column), and the sizes of columns with too many."""
     sizes = {r["column"]: r["n"] for r in categories.groupBy("column").agg(F.max("code").alias("n")).collect()}
-    few = sorted(c for c, n in sizes.items() if n <= ONEHOT_COLUMNS)
+    few = sorted(c for c, n in sizes.items() if n <= most)
     kept: dict[str, list[str]] = {c: [] for c in few}
-    # At most ONEHOT_COLUMNS rows per column reach the driver.
+    # At most ``most`` rows per column reach the driver.
     for row in categories.where(F.col("column").isin(few) & (F.col("code") > 0)).orderBy("column", "code").collect():
         kept[row["column"]].append(row["category"])
-    return kept, {c: n for c, n in sorted(sizes.items()) if n > ONEHOT_COLUMNS}
+    return kept, {c: n for c, n in sorted(sizes.items()) if n > most}
 
 
-def apply_onehot(df: DataFrame, categories: DataFrame) -> DataFrame:
+def apply_onehot(df: DataFrame, categories: DataFrame, most: int = ONEHOT_COLUMNS) -> DataFrame:
     """0/1 columns ``<column>_<category>`` for the stored categories; sources go, NULL and unknown give 0.
 
-    A column with more than ONEHOT_COLUMNS categories gives ``<column>_onehot`` instead: size, indices and values of a sparse
+    A column with more than ``most`` categories gives ``<column>_onehot`` instead: size, indices and values of a sparse
     vector, index 0 for the second category.
     """
-    kept, large = onehot_categories(categories)
+    kept, large = onehot_categories(categories, most)
     added = {
         f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, values in kept.items() for v in values
     }

@@ -542,7 +542,7 @@ def onehot_many(spark, folder):
     frame = spark.read.parquet(f"{folder}/customer.parquet").select("c_custkey", "c_name")
     categories = materialize(E.fit_categories(frame, ["c_name"], block_rows=SMALL_TABLE_BLOCK), "categories")
     vector = F.col("c_name_onehot")
-    return E.apply_onehot(frame, categories).select(
+    return E.apply_onehot(frame, categories, most=100).select(
         "c_custkey", vector["size"].alias("size"), F.coalesce(F.get(vector["indices"], 0), F.lit(-1)).alias("index"))
 
 
