@@ -136,6 +136,30 @@ def test_near_groups_against_plain_similarity(spark):
             assert joined.root(i) == joined.root(group[i])
 
 
+def grouped(spark, texts):
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(texts)], extra=False)
+    return {int(r["doc_id"]): int(r["first_id"]) for r in simhash.near_groups(docs).collect()}
+
+
+def similarity(a, b):
+    a, b = (set(simhash.shingle_hashes(t, 5).tolist()) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_a_repeated_phrase_makes_no_near_duplicates(spark):
+    texts = [" ".join(f"five words that both repeat {' '.join(f'{name}{k}x{i}' for i in range(4))}" for k in range(400))
+             for name in "ab"]
+    assert similarity(*texts) < 0.001
+    assert grouped(spark, texts) == {0: 0, 1: 1}
+
+
+def test_repeats_do_not_hide_near_duplicates(spark):
+    body, refrain = item(400, "w"), item(30, "r")
+    texts = [f"{body} {refrain}", f"{body} " + f"{refrain} " * 60]
+    assert similarity(*texts) >= 0.95
+    assert grouped(spark, texts) == {0: 0, 1: 0}
+
+
 def test_plan_grows_with_the_table():
     small, large = simhash.plan(1000), simhash.plan(10**9)
     assert small.bits == 32 and large.bits == 44 and large.families > small.families
