@@ -160,6 +160,17 @@ def test_repeats_do_not_hide_near_duplicates(spark):
     assert grouped(spark, texts) == {0: 0, 1: 0}
 
 
+def test_pairs_within_a_large_group_of_near_copies_are_found(spark):
+    """Thousands of texts of one template, all a little too far apart (0.69), and pairs among them that are near enough."""
+    random.seed(5)
+    template, planted = item(204, "t"), random.sample(range(2000), 100)
+    texts = [f"{template} {item(45, f'own{i}x')}" for i in range(2000)]
+    for a in planted:
+        texts.append(" ".join([*texts[a].split()[:-24], *(f"new{a}x{i}" for i in range(24))]))
+    assert 0.68 < similarity(texts[0], texts[1]) < 0.7 and 0.81 < similarity(texts[planted[0]], texts[2000]) < 0.83
+    assert grouped(spark, texts) == {i: i for i in range(2000)} | {2000 + k: a for k, a in enumerate(planted)}
+
+
 def test_plan_grows_with_the_table():
     small, large = simhash.plan(1000), simhash.plan(10**9)
     assert small.bits == 32 and large.bits == 44 and large.families > small.families
