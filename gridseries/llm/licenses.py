@@ -1,7 +1,8 @@
 """License scan by ordered signature rules.
 
 A text is reduced to its lower-case words with one space between them. Rules are regular expressions over that line, each
-behind a gate of keywords: a rule runs only on texts that hold all its keywords. Of overlapping detections, one whose words
+behind a gate of keywords: a rule runs only on texts that hold all words of one of its gates, and every match of its pattern
+holds such words. Of overlapping detections, one whose words
 lie within those of another goes if the other has a higher priority, or the same and more words (or the same words and
 comes first in the table). ``scan`` adds the line's word count, the base phrases' places and the detections that are left.
 
@@ -25,10 +26,10 @@ RESULT = ("n_words", "base_places", "detections")
 # Priorities, in steps: a tag made for machines, an address, a statement of grant, a bare name.
 TAG, ADDRESS, GRANT, NAME = 95, 90, 80, 50
 
-#: label; keywords that all must occur; the name as a pattern over lower-case words; its tag; its address, if it has one.
+#: label; keywords that all must occur, "|" between alternatives; the name as a pattern over lower-case words; its tag; its address, if it has one.
 #: "v" stands for an optional word before a number.
 LICENSES = (
-    ("0bsd", "0bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)(?: licen[cs]e)?", "0bsd", ""),
+    ("0bsd", "zero clause bsd|0bsd", r"(?:zero clause bsd|bsd zero clause|0bsd)(?: licen[cs]e)?", "0bsd", ""),
     ("afl-3.0", "academic", r"academic free licen[cs]e v(?: 3 0)?", r"afl 3 0", "opensource org licenses afl 3 0"),
     ("agpl-1.0", "affero", r"affero general public licen[cs]e v1(?: 0)?", "agpl 1 0", ""),
     ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[cs]e(?: v3)?(?: 0)?", "agpl 3 0", "gnu org licenses agpl"),
@@ -38,9 +39,9 @@ LICENSES = (
     ("apsl-2.0", "apple", r"apple public source licen[cs]e(?: v2 0)?", "apsl 2 0", "opensource apple com"),
     ("artistic-1.0", "artistic", r"artistic licen[cs]e v1 0", "artistic 1 0", ""),
     ("artistic-2.0", "artistic", r"artistic licen[cs]e(?: v2 0)?", "artistic 2 0", "perlfoundation org artistic"),
-    ("beerware", "beer", r"beer ?ware licen[cs]e", "beerware", ""),
+    ("beerware", "beer ware|beerware", r"beer ?ware licen[cs]e", "beerware", ""),
     ("blueoak-1.0.0", "oak", r"blue oak model licen[cs]e(?: 1 0 0)?", "blueoak 1 0 0", "blueoakcouncil org license"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)(?: licen[cs]e)?", "bsd 2 clause",
+    ("bsd-2-clause", "bsd|freebsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)(?: licen[cs]e)?", "bsd 2 clause",
      "opensource org licenses bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)(?: licen[cs]e)?",
      "bsd 3 clause", "opensource org licenses bsd 3 clause"),
@@ -115,14 +116,14 @@ LICENSES = (
     ("ofl-1.1", "font", r"(?:sil )?open font licen[cs]e(?: v?1 1)?", "ofl 1 1", "scripts sil org ofl"),
     ("ogl-3.0", "government", r"open government licen[cs]e(?: v\d 0)?", r"ogl uk \d 0",
      "nationalarchives gov uk doc open government licence"),
-    ("openrail-m", "rail", r"(?:creativeml |bigscience |bigcode )?open ?rail (?:m )?(?:licen[cs]e)?", "openrail", ""),
+    ("openrail-m", "open rail|openrail", r"(?:creativeml |bigscience |bigcode )?open ?rail (?:m )?(?:licen[cs]e)?", "openrail", ""),
     ("openssl", "openssl", r"openssl licen[cs]e", "openssl", "openssl org source license"),
     ("osl-3.0", "open software", r"open software licen[cs]e(?: v3 0)?", "osl 3 0", "opensource org licenses osl 3 0"),
     ("pddl-1.0", "dedication", r"(?:open data commons )?public domain dedication and licen[cs]e(?: v1 0)?", "pddl 1 0",
      "opendatacommons org licenses pddl"),
     ("php-3.01", "php", r"php licen[cs]e(?: v3 01)?", "php 3 01", "php net license"),
     ("postgresql", "postgresql", r"postgresql licen[cs]e", "postgresql", "opensource org licenses postgresql"),
-    ("psf-2.0", "python", r"(?:python software foundation|psf) licen[cs]e(?: agreement)?(?: v2)?", "psf 2 0",
+    ("psf-2.0", "python|psf", r"(?:python software foundation|psf) licen[cs]e(?: agreement)?(?: v2)?", "psf 2 0",
      "python org license"),
     ("qpl-1.0", "q public", r"q public licen[cs]e(?: v1 0)?", "qpl 1 0", ""),
     ("ruby", "ruby", r"ruby(?: s)? licen[cs]e", "ruby", ""),
@@ -134,7 +135,7 @@ LICENSES = (
     ("upl-1.0", "universal", r"universal permissive licen[cs]e(?: v1 0)?", "upl 1 0", ""),
     ("vim", "vim", r"vim licen[cs]e", "vim", ""),
     ("w3c", "w3c", r"w3c (?:software )?(?:notice and )?licen[cs]e", "w3c", "w3 org consortium legal"),
-    ("wtfpl", "wtfpl", r"(?:do what the fuck you want to public licen[cs]e|wtfpl)", "wtfpl", "wtfpl net"),
+    ("wtfpl", "wtfpl|fuck", r"(?:do what the fuck you want to public licen[cs]e|wtfpl)", "wtfpl", "wtfpl net"),
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e", "zlib", "opensource org licenses zlib"),
     ("zpl-2.1", "zope", r"zope public licen[cs]e(?: v2 1)?", "zpl 2 1", "zope org resources zpl"),
 )
@@ -144,13 +145,15 @@ STATEMENTS = (
     ("reserved", "all rights reserved", r"all rights reserved", NAME),
     ("copyright", "copyright", r"(?:c )?copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)*", NAME),
     ("proprietary", "proprietary", r"(?:confidential and proprietary|proprietary and confidential)", GRANT),
-    ("proprietary", "consent", r"without (?:the )?(?:prior |express )+written (?:consent|permission)", GRANT),
+    ("proprietary", "without written consent|without written permission",
+     r"without (?:the )?(?:prior |express )+written (?:consent|permission)", GRANT),
     ("proprietary", "unauthorized", r"unauthorized (?:copying|use|reproduction|distribution)(?: \w+){0,6} prohibited", GRANT),
-    ("no-redistribution", "redistributed", r"may not be (?:reproduced|redistributed|republished)(?: or \w+)*", GRANT),
+    ("no-redistribution", "not reproduced|not redistributed|not republished",
+     r"may not be (?:reproduced|redistributed|republished)(?: or \w+)*", GRANT),
     ("public-domain", "domain", r"(?:released|placed|dedicated|is) (?:into|in|to) the public domain", GRANT),
-    ("non-commercial", "commercial", r"(?:for )?non ?commercial (?:use|purposes)(?: only)?", NAME),
+    ("non-commercial", "noncommercial|non commercial", r"(?:for )?non ?commercial (?:use|purposes)(?: only)?", NAME),
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy", TAG),
-    ("isc", "hereby", r"permission to use copy modify and or distribute this software for any purpose", TAG),
+    ("isc", "permission modify distribute", r"permission to use copy modify and or distribute this software for any purpose", TAG),
     ("bsd", "binary", r"redistribution and use in source and binary forms with or without modification", TAG),
     ("apache-2.0", "compliance", r"you may not use this file except in compliance with the licen[cs]e", TAG),
     ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public", TAG),
@@ -169,6 +172,18 @@ class Rule:
     keywords: tuple[str, ...]
     pattern: str
     priority: int
+    alternatives: tuple[tuple[str, ...], ...] = ()
+
+    @property
+    def gates(self) -> tuple[tuple[str, ...], ...]:
+        """Sets of words, one of which must occur as a whole."""
+        return self.alternatives or (self.keywords,)
+
+
+def _gated(label: str, keywords: str, pattern: str, priority: int) -> Rule:
+    """A rule with the words that all its alternatives of keywords have in common, and the alternatives."""
+    gates = tuple(tuple(x.split()) for x in keywords.split("|"))
+    return Rule(label, tuple(k for k in gates[0] if all(k in g for g in gates)), pattern, priority, gates)
 
 
 def _worded(pattern: str) -> str:
@@ -183,13 +198,13 @@ def rules() -> list[Rule]:
     """The ordered table: per license a tag, an address, a grant and a bare name, then the statements."""
     found = []
     for label, keywords, name, tag, address in LICENSES:
-        gate, name = tuple(keywords.split()), _worded(name)
+        name = _worded(name)
         found.append(Rule(label, ("spdx", "identifier"), rf"spdx licen[cs]e identifier (?:\w+ )?{tag}(?: or later| only)?", TAG))
         if address:
             found.append(Rule(label, tuple(address.split()[:2]), address, ADDRESS))
-        found.append(Rule(label, gate, _GRANTED + name, GRANT))
-        found.append(Rule(label, gate, name, NAME))
-    found += [Rule(label, tuple(keywords.split()), pattern, priority) for label, keywords, pattern, priority in STATEMENTS]
+        found.append(_gated(label, keywords, _GRANTED + name, GRANT))
+        found.append(_gated(label, keywords, name, NAME))
+    found += [_gated(label, keywords, pattern, priority) for label, keywords, pattern, priority in STATEMENTS]
     return found
 
 
@@ -259,10 +274,10 @@ def scan(docs: DataFrame, text: str = "text", table: list[Rule] | None = None,
          phrases=BASE_PHRASES) -> DataFrame:
     """The input with n_words, base_places (label, place) and detections (first, last, priority, rule, label, words)."""
     table = rules() if table is None else table
-    literal = F.array(*[F.struct(F.lit(i).alias("no"), F.lit(r.label).alias("label"), F.array(
-        *map(F.lit, r.keywords)).alias("keywords"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"))
+    literal = F.array(*[F.struct(F.lit(i).alias("no"), F.lit(r.label).alias("label"), F.array(*[
+        F.array(*map(F.lit, g)).cast("array<string>") for g in r.gates]).alias("gates"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"))
         for i, r in enumerate(table)])
-    gates = F.array(*[F.lit(k) for k in sorted({k for r in table for k in r.keywords})])
+    gates = F.array(*[F.lit(k) for k in sorted({k for r in table for g in r.gates for k in g})])
     nothing = F.array().cast(
         "array<struct<first:bigint,last:bigint,priority:int,rule:int,label:string,words:string>>")
 
@@ -272,7 +287,7 @@ def scan(docs: DataFrame, text: str = "text", table: list[Rule] | None = None,
             F.array_sort(F.concat(*[F.transform(places(w, line, p), lambda i: F.struct(
                 i.cast("long").alias("place"), F.lit(label).alias("label"))) for p, label in phrases])).alias("base_places"),
             let(F.array_intersect(w, gates), lambda seen: let(
-                F.filter(literal, lambda r: F.size(F.array_except(r["keywords"], seen)) == 0),
+                F.filter(literal, lambda r: F.exists(r["gates"], lambda g: F.size(F.array_except(g, seen)) == 0)),
                 lambda chosen: F.when(F.size(chosen) == 0, nothing).otherwise(
                     let(F.flatten(F.transform(chosen, lambda r: _hits(line, r))), _outermost)))).alias("detections")))
 

@@ -1,5 +1,7 @@
 """Quality rules, licenses and line dedup: SQL, plain versions, and awkward rows."""
 
+import dataclasses
+import itertools
 import re
 
 import pytest
@@ -93,6 +95,48 @@ def test_license_scan_against_plain_version(spark, small):
         assert row["n_words"] == len(plain_terms(row["text"]))
 
 
+def samples(pattern):
+    """Texts that a pattern matches: all choices, repeats as few times as they may and once more."""
+    def of(item):
+        op, value = str(item[0]), item[1]
+        if op == "LITERAL":
+            return [chr(value)]
+        if op == "IN":
+            return [chr(v) for k, v in value if str(k) == "LITERAL"] or ["7" if "DIGIT" in str(value) else "q"]
+        if op == "BRANCH":
+            return [s for branch in value[1] for s in joined(branch)]
+        if op == "SUBPATTERN":
+            return joined(value[3])
+        low, high, inside = value
+        return ["".join(c) for n in sorted({low, min(low + 1, high)}) for c in itertools.product(joined(inside), repeat=n)]
+
+    def joined(items):
+        found = [""]
+        for item in items:
+            found = [a + b for a in found for b in of(item)]
+        return found
+
+    return joined(re._parser.parse(pattern))
+
+
+def test_gates_drop_no_license(spark, monkeypatch):
+    """The scan of texts that the patterns match, against all patterns without gates."""
+    table, texts = licenses.rules(), []
+    for rule in table:
+        if not rule.pattern.startswith(licenses._GRANTED):
+            found = samples(rule.pattern)
+            assert all(re.fullmatch(rule.pattern, s) for s in found)
+            assert all(any(set(g) <= set(s.split()) for g in rule.gates) for s in found)
+            texts += found[:: max(1, len(found) // 12)] + [f"it is licensed under the {found[-1]}"]
+    frame = documents(spark, [(i, x, "s") for i, x in enumerate(texts)], extra=False)
+    scanned = licenses.scan(frame).collect()
+    open_table = [dataclasses.replace(r, keywords=(), alternatives=()) for r in table]
+    monkeypatch.setattr(licenses, "rules", lambda: open_table)
+    for row in scanned:
+        assert sorted((d["first"], d["last"], d["priority"], d["rule"], d["label"]) for d in row["detections"]) == (
+            plain_scan(row["text"])[1])
+
+
 def test_license_rules():
     table = licenses.rules()
     assert len(table) > 200
