@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from gridseries.llm.text import WORD, let, whole, words
 
 WINDOW = 8
+DISTINCT_WINDOW = 4096
 
 
 def _share_above(part: str, of: str, percent: int) -> Column:
@@ -37,6 +38,7 @@ RULES = {
     "word_length": lambda: (F.col("word_chars") < F.col("n_words") * 2) | (F.col("word_chars") > F.col("n_words") * 20),
     "ellipsis_lines": lambda: _share_above("n_ellipsis_lines", "n_lines", 30),
     "bullet_lines": lambda: _share_above("n_bullet_lines", "n_lines", 90),
+    "few_distinct_near": lambda: F.col("n_window_distinct") * 100 < F.col("n_window_words") * 15,
 }
 BITS = {name: 1 << i for i, name in enumerate(RULES)}
 BASE = BITS["short"] | BITS["repeated_words"]
@@ -64,11 +66,32 @@ POLICIES = {p.version: p for p in (
     Policy("base", ("short", "repeated_words"), (), 1),
     Policy("v1", ("short", "repeated_words", "symbols", "few_letters", "shouting", "exclamations", "few_distinct"),
            ("duplicate_lines", "word_length", "ellipsis_lines", "bullet_lines"), 2),
+    # The share of distinct words falls with length alone, so v2 takes it in windows of equal length.
+    Policy("v2", ("short", "repeated_words", "symbols", "few_letters", "shouting", "exclamations", "few_distinct_near"),
+           ("duplicate_lines", "word_length", "ellipsis_lines", "bullet_lines"), 2),
 )}
-PRODUCTION = "v1"
+PRODUCTION = "v2"
+#: The rules that the SQL of ``op2_quality`` states, by its policy v1.
+STATED = sum(BITS[r] for r in RULES if r != "few_distinct_near")
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letter_words",
-            "n_upper_words", "n_exclamations", "n_distinct_words", "n_ellipsis_lines", "n_bullet_lines")
+            "n_upper_words", "n_exclamations", "n_distinct_words", "n_ellipsis_lines", "n_bullet_lines",
+            "n_window_distinct", "n_window_words")
+
+
+def distinct_near(w: Column) -> Column:
+    """Distinct words summed over windows of equal length that hold the whole text, the last one up to its end."""
+    size = F.size(w)
+    starts = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / DISTINCT_WINDOW).cast("int")),
+                         lambda k: F.least(k * DISTINCT_WINDOW, size - DISTINCT_WINDOW))
+    sums = F.aggregate(starts, F.lit(0), lambda n, i: n + F.size(F.array_distinct(F.slice(w, i + 1, DISTINCT_WINDOW))))
+    return F.when(size <= DISTINCT_WINDOW, F.size(F.array_distinct(w))).otherwise(sums)
+
+
+def near_words(w: Column) -> Column:
+    """Words in those windows, counted as often as they are in one."""
+    return F.when(F.size(w) <= DISTINCT_WINDOW, F.size(w)).otherwise(
+        F.ceil(F.size(w) / DISTINCT_WINDOW).cast("int") * DISTINCT_WINDOW)
 
 
 def _covered(starts: Column) -> Column:
@@ -116,6 +139,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             F.length(F.array_join(w, "")).alias("word_chars"),
             repeat_words(w).alias("n_repeat_words"),
             F.size(F.array_distinct(w)).alias("n_distinct_words"),
+            distinct_near(w).alias("n_window_distinct"),
+            near_words(w).alias("n_window_words"),
             F.size(F.filter(w, lambda x: x.rlike(r"\p{L}"))).alias("n_letter_words"),
             F.size(F.filter(w, lambda x: (F.upper(x) == x) & (F.lower(x) != x))).alias("n_upper_words"))
 
@@ -134,7 +159,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {*MEASURES, "failures"}]
     measured = docs.select(*kept, F.explode(F.array(found)).alias("_m"))
     inside = {**dict.fromkeys(("n_words", "word_chars", "n_repeat_words", "n_distinct_words", "n_letter_words",
-                               "n_upper_words"), "w."),
+                               "n_upper_words", "n_window_distinct", "n_window_words"), "w."),
               **dict.fromkeys(("n_lines", "n_dup_lines", "n_ellipsis_lines", "n_bullet_lines"), "l.")}
     measured = measured.select(*kept, *[F.col(f"_m.{inside.get(m, '')}{m}").cast("long").alias(m) for m in MEASURES])
     bits = [F.when(rule(), F.lit(BITS[name])).otherwise(F.lit(0)) for name, rule in RULES.items()]

@@ -37,11 +37,11 @@ def op1_mixing(spark, folder):
 
 @query
 def op2_quality(spark, folder):
-    judged = quality.apply_policy(quality.measure(table(spark, folder, "documents")))
+    judged = quality.apply_policy(quality.measure(table(spark, folder, "documents")), "v1")  # as the SQL states it
     base_failed = F.col("failures").bitwiseAND(F.lit(quality.BASE)) != 0
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed.alias("base_failed"), "kept", "failures")
+        base_failed.alias("base_failed"), "kept", F.col("failures").bitwiseAND(F.lit(quality.STATED)).alias("failures"))
 
 
 def fold() -> Column:

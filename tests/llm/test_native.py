@@ -2,6 +2,7 @@
 
 import dataclasses
 import itertools
+import random
 import re
 
 import pytest
@@ -45,6 +46,21 @@ def test_ablation_counts_rules_that_decide_alone(spark):
     assert [r["n_rows"] for r in quality.ablation(quality.measure(nothing(spark))).collect()] == [0] * len(rows)
 
 
+def test_long_clean_texts_are_kept(spark):
+    """A long text whose share of distinct words falls below 15 % by its length alone, and junk of every length."""
+    draw = random.Random(6)
+    book = " ".join(f"word{draw.randrange(6000)}" for _ in range(60_000))
+    junk = [" ".join(f"word{draw.randrange(60)}" for _ in range(n)) for n in (3000, 4097, 8191, 60_000)]
+    rows = [(i, t, "s") for i, t in enumerate([book, *junk])]
+    judged = {r["doc_id"]: r for r in quality.apply_policy(quality.measure(documents(spark, rows, extra=False))).collect()}
+    assert judged[0]["n_distinct_words"] * 100 < 15 * judged[0]["n_words"]
+    assert [judged[i]["kept"] for i in range(5)] == [True, False, False, False, False]
+    words, size = book.split(), quality.DISTINCT_WINDOW
+    starts = [min(k * size, 60_000 - size) for k in range(15)]
+    assert judged[0]["n_window_distinct"] == sum(len(set(words[i: i + size])) for i in starts)
+    assert judged[0]["n_window_words"] == 15 * size
+
+
 def test_policies_only_read_bits(spark):
     ledger = spark.createDataFrame([(b,) for b in (0, 1, 4, 128, 128 + 256)], "failures long")
     kept = [r["kept"] for r in quality.apply_policy(ledger, "v1").orderBy("failures").collect()]
