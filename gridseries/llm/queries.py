@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import decontaminate, licenses, lines, lm, mixing, quality, scratch, simhash, toxicity, urls, warc
+from gridseries.llm import decontaminate, licenses, lines, lm, mixing, pieces, quality, scratch, simhash, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,3 +114,14 @@ def op10_warc(spark, folder):
     warc.write_arcs(table(spark, folder, "pages"), f"{place}/arc")
     records = warc.convert(spark, f"{place}/arc", f"{place}/warc")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op11_pieces(spark, folder):
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    ids = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), model, packed=True)
+    return pieces.decode(ids.drop("text"), model).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
