@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridseries.llm import decontaminate, licenses, lines, lm, mixing, pieces, quality, scratch, simhash, toxicity, urls, warc
+from gridseries.llm import decontaminate, licenses, lines, lm, merkle, mixing, pieces, quality, scratch, simhash, toxicity, urls, warc, whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,3 +126,21 @@ def op11_pieces(spark, folder):
     return pieces.decode(ids.drop("text"), model).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op12_whitening(spark, folder):
+    return whiten.whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_merkle(spark, folder):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    docs = table(spark, folder, "documents").select(*fields).withColumn("tampered", F.when(
+        hit, merkle.leaf(*[lowered if c == "text" else F.col(c) for c in fields])))
+    proven = merkle.manifest(docs, fields, carry=["doc_id", "tampered"])
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"), F.col("path"))
+    return proven.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))

