@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -274,16 +275,14 @@ def _per_task(rows: DataFrame, state: Callable[[Iterator[np.ndarray]], np.ndarra
 
 def _merged(parts: DataFrame, merge: Callable[[list[np.ndarray]], np.ndarray]) -> np.ndarray | None:
     """The states of all tasks as one, ``FAN_IN`` neighbours at a time."""
-    def some(key, table: pa.Table) -> pa.Table:
-        table = table.sort_by("seq")
-        state = merge([np.array(s) for s in table["state"].to_pylist()])
-        return pa.table({"seq": pa.array([key[0].as_py()], pa.int64()),
-                         "state": pa.array([state.ravel().tolist()], pa.list_(pa.float64()))})
+    def some(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        state = merge([np.array(s) for s in rows.sort_values("seq")["state"]])
+        return pd.DataFrame({"seq": [int(key[0])], "state": [state.ravel().tolist()]})
 
     parts = stored(parts)
     while parts.count() > 1:
-        parts = stored(parts.withColumn("seq", F.floor(F.col("seq") / FAN_IN).cast("long")).groupBy("seq").applyInArrow(
-            some, parts.schema))
+        parts = stored(parts.withColumn("group", F.floor(F.col("seq") / FAN_IN).cast("long")).groupBy("group").applyInPandas(
+            some, "seq long, state array<double>"))
     last = parts.first()
     return np.array(last["state"]) if last else None
 

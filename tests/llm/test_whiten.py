@@ -75,7 +75,11 @@ def test_awkward_rows_over_many_tasks(spark, monkeypatch):
              (504, [math.inf] * 5), (505, [1.0] * 4), (506, [1e30] * 5), (507, good[5].tolist()), (507, good[5].tolist())]
     table = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumns(
         {"x": F.lit(1), "row": F.lit(2), "whitened": F.lit(3), "state": F.lit(4), "entries": F.lit(5)}).repartition(9)
-    found = whiten.whiten(table).toPandas()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several tasks, so that states are merged
+    try:
+        found = whiten.whiten(table).toPandas()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     kept = [d for d in data if d[0] is None or d[0] < 500 or d[0] == 507]
     assert len(found) == 5 * len(kept) and found["vec_id"].isna().sum() == 5
     n, deviations, white, shares = plain(np.array([d[1] for d in kept], np.float32)[:, :4])
