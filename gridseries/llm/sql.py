@@ -168,8 +168,8 @@ def _merkle_sql(levels: int = 9) -> str:
         return "sha256(" + " || ".join(field(c) for c in [*fields, text]) + ")"
 
     low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    crc = ("xor(4294967295, list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), c -> ascii(c)::bigint), "
-           "(c, b) -> list_reduce(range(8), (s, i) -> xor(s >> 1, (s & 1) * 3988292384), xor(c, b)), 4294967295::bigint))")
+    crc = ("xor(4294967295, list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint), "
+           "lambda c, b: list_reduce(range(8), lambda s, i: xor(s >> 1, (s & 1) * 3988292384), xor(c, b)), 4294967295::bigint))")
     parts = [f"""
 l as (
   select doc_id, coalesce('=' || lang, '') as g, {leaf('text')} as leaf, {crc} % 3 = 0 as hit, {leaf(low)} as lowered
