@@ -35,8 +35,8 @@ SPACE = "▁"
 CODE_POINTS = 0x110000
 NEVER = np.int32(2**31 - 1)
 FULL_ROUNDS = 48
-GROUP_CHARS = 1 << 22
-MEMO_WORDS = 1 << 18
+GROUP_CHARS = 1 << 19
+MEMO_WORDS = 1 << 17
 MEMO_CHARS = 64
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
