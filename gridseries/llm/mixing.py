@@ -1,7 +1,7 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 1. Words are counted per source; weights become targets in words, none above ``max_repeats`` times its source.
-2. A source's documents fall into blocks by hash. The mix takes whole passes over a source, then whole blocks in a
+2. A source's documents fall into blocks by a hash of all their columns and, among rows alike in all of them, their number. The mix takes whole passes over a source, then whole blocks in a
    permuted order, then documents of one last block, so that the words taken come within one document of the target.
 3. The exact block quotas of all sources are split between output shards by a binary tree: each node draws the quotas
    of its left half from a multivariate hypergeometric distribution seeded by the node, so any task can compute the
@@ -11,8 +11,8 @@
 Only the table of sources (one row per source name) reaches the driver; more than ``MAX_SOURCES`` names raise an error.
 
 Null and empty texts have no words; they follow their block and take none. The null source is a source of its own, the last.
-Repeated rows are documents of their own that share a block. Null ids are documents like others. Sources without words
-get the target 0. An empty table gives an empty mix. Very long texts are taken whole or not at all.
+Repeated rows are documents of their own: they are numbered, so that they spread over blocks like others. Null and shared ids
+are documents like others; no id decides alone. Sources without words get the target 0. An empty table gives an empty mix. Very long texts are taken whole or not at all.
 Columns of the input that bear the name of a result column are replaced.
 """
 
@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gridseries.llm.scratch import stored
@@ -40,6 +41,7 @@ RUN_BLOCKS = 256
 SHARD_BLOCKS = 64
 SEED = 11
 RESULT = {"size", "source_size", "target", "taken", "placed"}
+REPEATS = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -178,6 +180,40 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
+def _identity(docs: DataFrame, seed: int) -> list[Column]:
+    """Two 64-bit hashes of a whole row. What Spark can't hash (maps, variants) counts by its JSON form."""
+    def hashable(kind: T.DataType) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return hashable(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return all(hashable(f.dataType) for f in kind)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    columns = [F.col(f"`{f.name}`") if hashable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`")))
+               for f in docs.schema]
+    # A null leaves Spark's hash as it is, so nulls are marked beside the values.
+    marks = [c.isNull() for c in columns]
+    return [F.xxhash64(F.lit(seed + k), *columns, *marks) for k in (0, 1)]
+
+
+def _numbered(rows: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """Rows with their ``number`` among rows that are alike in all columns.
+
+    Such rows are one row and a count, so they are numbered by making that many again, ``REPEATS`` in a task.
+    """
+    if repeated is None:
+        return rows.withColumn("number", F.lit(0).cast("long"))
+    flagged = rows.join(repeated, ["h1", "h2"], "left")
+    alone = flagged.filter("times is null").drop("times").withColumn("number", F.lit(0).cast("long"))
+    each = [F.first(c).alias(c) for c in rows.columns if c not in ("h1", "h2")]
+    many = flagged.filter("times is not null").groupBy("h1", "h2", "times").agg(*each).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / REPEATS))))
+    last = F.least((F.col("chunk") + 1) * REPEATS, F.col("times")) - 1
+    many = many.repartition(F.xxhash64("h1", "h2", "chunk")).withColumn(
+        "number", F.explode(F.sequence(F.col("chunk") * REPEATS, last))).drop("chunk", "times")
+    return alone.unionByName(many)
+
+
 def mix(docs: DataFrame, size: Column | None = None, max_repeats: float = 3.0, weights=cycled_weights,
         seed: int = SEED, shard_blocks: int = SHARD_BLOCKS) -> DataFrame:
     """The input with size, source_size, target, taken and ``placed``: the (shard, order) of each copy taken.
@@ -185,12 +221,15 @@ def mix(docs: DataFrame, size: Column | None = None, max_repeats: float = 3.0, w
     ``size`` is an expression over the input, by default the words of its text.
     """
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULT]
+    h1, h2 = _identity(docs, seed)
     # The input's columns travel as one, so that their names clash with none made here.
-    counted = docs.select(F.struct(*kept).alias("row"), "doc_id", F.col("source").cast("string").alias("source"),
-                          (word_count(F.col("text")) if size is None else size).alias("size"))
+    counted = docs.select(F.struct(*kept).alias("row"), F.col("source").cast("string").alias("source"),
+                          (word_count(F.col("text")) if size is None else size).alias("size"), h1.alias("h1"), h2.alias("h2"))
     slim = stored(counted.drop("row"))
     sources = survey(slim, max_repeats, weights)
-    return _placed(counted, _plan(slim, sources, seed, shard_blocks), sources, seed)
+    repeated = stored(slim.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).filter("times > 1"))
+    repeated = repeated if repeated.limit(1).count() else None
+    return _placed(_numbered(counted, repeated), _plan(_numbered(slim, repeated), sources, seed, shard_blocks), sources, seed)
 
 
 def _keyed(rows: DataFrame, sources: list[Source], seed: int) -> DataFrame:
@@ -198,11 +237,11 @@ def _keyed(rows: DataFrame, sources: list[Source], seed: int) -> DataFrame:
     table = _source_table(rows.sparkSession, sources, seed)
     joined = rows.join(F.broadcast(table.withColumnRenamed("source", "_source")),
                        F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return joined.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.col("blocks")))
+    return joined.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "h1", "h2", "number"), F.col("blocks")))
 
 
 def _rank(seed: int) -> Column:
-    return F.xxhash64(F.lit(seed + 1), F.col("doc_id"))
+    return F.xxhash64(F.lit(seed + 1), "h1", "h2", "number")
 
 
 def _plan(slim: DataFrame, sources: list[Source], seed: int, shard_blocks: int) -> DataFrame:
@@ -263,7 +302,7 @@ def _placed(counted: DataFrame, plan: DataFrame, sources: list[Source], seed: in
     beyond = F.col("ranks").isNotNull() & ~F.array_contains("ranks", _rank(seed))
     copies = F.when(beyond, F.filter(copies, lambda c: c["turn"] < F.col("passes"))).otherwise(copies)
     placed = F.transform(copies, lambda c: F.struct(
-        c["shard"].alias("shard"), F.xxhash64(F.lit(seed), c["shard"], c["turn"], F.col("doc_id")).alias("order")))
+        c["shard"].alias("shard"), F.xxhash64(F.lit(seed), c["shard"], c["turn"], "h1", "h2", "number").alias("order")))
     return flagged.withColumn("placed", placed).select(
         "row.*", "size", "source_size", "target", (F.col("size") * F.size("placed")).alias("taken"), "placed")
 

@@ -31,7 +31,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_mixing(spark, folder):
     docs = table(spark, folder, "documents")
-    sized = scratch.stored(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words")))
+    # Everything by which rows differ, without the texts themselves.
+    sized = scratch.stored(docs.select("doc_id", "source", "lang", mixing.word_count(F.col("text")).alias("words"), *[
+        F.xxhash64(F.lit(k), "text").alias(f"text_{k}") for k in (0, 1)]))
     return mixing.mix(sized, F.col("words")).select(
         "doc_id", "size", "source_size", "target", "taken", F.col("placed.shard").alias("shards"))
 
