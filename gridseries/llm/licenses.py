@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.text import TERM, let, lower_ascii, whole, words
+from gridseries.llm.text import TERM, free_name, let, lower_ascii, whole, words
 
 BASE_PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 RESULT = ("n_words", "base_places", "detections")
@@ -166,6 +166,11 @@ _GRANTED = (r"(?:licen[cs]ed|released|distributed|available|published|provided|c
             r"(?:\w+ ){0,2}(?:under|by|with|as) (?:the )?(?:terms of )?(?:the |a |an )?")
 
 
+DETECTIONS = "array<struct<first:bigint,last:bigint,priority:int,rule:int,label:string,words:string>>"
+FIRST, LAST = "\x01", "\x02"  # marks that no word holds
+BLOCK = 256
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -228,21 +233,22 @@ def _hits(line: Column, rule: Column) -> Column:
     """Detections of one rule: its words from and to, numbered from 0."""
     pattern = F.concat(F.lit(r"(?<= )(?:"), rule["pattern"], F.lit(r")(?= )"))
 
-    def spans(both):
-        def span(text, i):
-            before = F.concat(F.array_join(F.transform(F.sequence(F.lit(0), i), lambda k: F.concat(
-                F.get(both["between"], k), F.when(k < i, F.get(both["hits"], k)).otherwise(F.lit("")))), ""))
-            first = F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit(""))) - 1
-            return F.struct(
-                first.cast("long").alias("first"),
-                (first + F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("long").alias("last"),
-                rule["priority"].alias("priority"), rule["no"].alias("rule"), rule["label"].alias("label"),
-                text.alias("words"))
+    def spans(hits):
+        # The k-th match begins at the k-th word with the first mark and ends at the k-th with the last one.
+        marked = F.split(F.regexp_replace(line, pattern, F.lit(f"{FIRST}$0{LAST}")), " ")
+
+        def at(w, is_end):
+            return F.filter(F.transform(w, lambda x, i: F.when(is_end(x), i - 1)), lambda i: i.isNotNull())
 
-        return F.transform(both["hits"], span)
+        return let(marked, lambda w: let(F.struct(
+            at(w, lambda x: F.startswith(x, F.lit(FIRST))).alias("a"), at(w, lambda x: F.endswith(x, F.lit(LAST))).alias("b")),
+            lambda ends: F.transform(hits, lambda text, k: F.struct(
+                F.get(ends["a"], k).cast("long").alias("first"), F.get(ends["b"], k).cast("long").alias("last"),
+                rule["priority"].alias("priority"), rule["no"].alias("rule"), rule["label"].alias("label"),
+                text.alias("words")))))
 
-    return let(F.struct(F.regexp_extract_all(line, pattern, F.lit(0)).alias("hits"),
-                        F.split(line, pattern, -1).alias("between")), spans)
+    return let(F.regexp_extract_all(line, pattern, F.lit(0)), lambda hits: F.when(
+        F.size(hits) == 0, F.array().cast(DETECTIONS)).otherwise(spans(hits)))
 
 
 def _outermost(found: Column) -> Column:
@@ -251,7 +257,6 @@ def _outermost(found: Column) -> Column:
     What contains a detection comes before it in this order, so the farthest end per priority decides.
     """
     levels = (TAG, ADDRESS, GRANT, NAME)
-    kind = "struct<first:bigint,last:bigint,priority:int,rule:int,label:string,words:string>"
     order = F.array_sort(F.transform(found, lambda d: F.struct(
         d["first"].alias("a"), (-d["last"]).alias("b"), (-d["priority"]).alias("c"), d["rule"].alias("r"), d.alias("d"))))
 
@@ -265,9 +270,20 @@ def _outermost(found: Column) -> Column:
         kept = F.when(hidden, state["kept"]).otherwise(F.concat(state["kept"], F.array(d)))
         return F.struct(*ends, kept.alias("kept"))
 
-    first = F.struct(*[F.lit(-1).cast("long").alias(f"e{level}") for level in levels],
-                     F.array().cast(f"array<{kind}>").alias("kept"))
-    return F.aggregate(order, first, step, lambda state: state["kept"])
+    def ends_of(state):
+        return [(state[f"e{level}"] if state is not None else F.lit(-1).cast("long")).alias(f"e{level}") for level in levels]
+
+    def some(state, block):
+        """A block of detections: what is kept grows only inside it, so that many detections are not copied again and again."""
+        inside = F.aggregate(block, F.struct(*ends_of(state), F.array().cast(DETECTIONS).alias("kept")), step)
+        return let(inside, lambda x: F.struct(*ends_of(x), F.concat(state["kept"], F.array(x["kept"])).alias("kept")))
+
+    def blocks(all_of):
+        return F.transform(F.sequence(F.lit(1), F.size(all_of), F.lit(BLOCK)), lambda i: F.slice(all_of, i, BLOCK))
+
+    first = F.struct(*ends_of(None), F.array().cast(f"array<{DETECTIONS}>").alias("kept"))
+    return F.when(F.size(found) == 0, F.array().cast(DETECTIONS)).otherwise(
+        F.aggregate(let(order, blocks), first, some, lambda state: F.flatten(state["kept"])))
 
 
 def scan(docs: DataFrame, text: str = "text", table: list[Rule] | None = None,
@@ -278,8 +294,7 @@ def scan(docs: DataFrame, text: str = "text", table: list[Rule] | None = None,
         F.array(*map(F.lit, g)).cast("array<string>") for g in r.gates]).alias("gates"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"))
         for i, r in enumerate(table)])
     gates = F.array(*[F.lit(k) for k in sorted({k for r in table for g in r.gates for k in g})])
-    nothing = F.array().cast(
-        "array<struct<first:bigint,last:bigint,priority:int,rule:int,label:string,words:string>>")
+    nothing = F.array().cast(DETECTIONS)
 
     def results(w):
         return let(F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" ")), lambda line: F.struct(
@@ -292,9 +307,10 @@ def scan(docs: DataFrame, text: str = "text", table: list[Rule] | None = None,
                     let(F.flatten(F.transform(chosen, lambda r: _hits(line, r))), _outermost)))).alias("detections")))
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULT]
+    made = free_name(docs.columns, "found")
     found = docs.select(*kept, F.explode(F.array(let(
-        words(lower_ascii(whole(F.col(text))), TERM), results))).alias("_found"))
-    return found.select(*[F.col(f"`{c}`") for c in found.columns if c != "_found"], "_found.*")
+        words(lower_ascii(whole(F.col(f"`{text}`"))), TERM), results))).alias(made))
+    return found.select(*[F.col(f"`{c}`") for c in found.columns if c != made], f"{made}.*")
 
 
 def confidence(base_places: Column, detections: Column) -> Column:
