@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridseries.llm.scratch import stored
-from gridseries.llm.text import TERM, let, lower_ascii, whole, words
+from gridseries.llm.text import TERM, free_name, let, lower_ascii, whole, words
 
 LENGTH = 5
 THRESHOLD = 0.8
@@ -95,7 +95,7 @@ def _same(*names: str) -> Column:
 def decontaminate(docs: DataFrame, items: DataFrame, length: int = LENGTH, threshold: float = THRESHOLD,
                   text: str = "text") -> DataFrame:
     """The documents in which no item is found."""
-    bad = stored(contaminated(docs, items, length, threshold, text).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    key = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(whole(F.col(f"`{text}`"))) == F.col("_hash"))
+    name, digest = (free_name(docs.columns, n) for n in ("bad_id", "bad_hash"))
+    bad = stored(contaminated(docs, items, length, threshold, text).select("doc_id", "text_hash").distinct()).toDF(name, digest)
+    key = F.col("doc_id").eqNullSafe(F.col(name)) & (F.xxhash64(whole(F.col(f"`{text}`"))) == F.col(digest))
     return docs.join(bad, key, "left_anti")

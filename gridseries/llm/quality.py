@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridseries.llm.text import WORD, let, whole, words
+from gridseries.llm.text import WORD, free_name, let, whole, words
 
 WINDOW = 8
 DISTINCT_WINDOW = 4096
@@ -130,7 +130,7 @@ def repeat_words(of: Column) -> Column:
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """The input with the measurements and the ledger ``failures``."""
-    content = whole(F.col(text))
+    content = whole(F.col(f"`{text}`"))
     lines = F.filter(F.split(content, "\n"), lambda x: x.rlike(WORD))
 
     def numbers(w):
@@ -152,16 +152,17 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
             F.size(F.filter(x, lambda s: s.rlike("^\\s*[-*•‣●]"))).alias("n_bullet_lines"))
 
     found = F.struct(
-        let(words(F.col(text)), numbers).alias("w"),
+        let(words(F.col(f"`{text}`")), numbers).alias("w"),
         let(lines, line_numbers).alias("l"),
         (F.length(content) - F.length(F.regexp_replace(content, r"[#*$%&|<>]", ""))).alias("n_symbols"),
         (F.length(content) - F.length(F.replace(content, F.lit("!"), F.lit("")))).alias("n_exclamations"))
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {*MEASURES, "failures"}]
-    measured = docs.select(*kept, F.explode(F.array(found)).alias("_m"))
+    made = free_name(docs.columns, "found")
+    measured = docs.select(*kept, F.explode(F.array(found)).alias(made))
     inside = {**dict.fromkeys(("n_words", "word_chars", "n_repeat_words", "n_distinct_words", "n_letter_words",
                                "n_upper_words", "n_window_distinct", "n_window_words"), "w."),
               **dict.fromkeys(("n_lines", "n_dup_lines", "n_ellipsis_lines", "n_bullet_lines"), "l.")}
-    measured = measured.select(*kept, *[F.col(f"_m.{inside.get(m, '')}{m}").cast("long").alias(m) for m in MEASURES])
+    measured = measured.select(*kept, *[F.col(f"{made}.{inside.get(m, '')}{m}").cast("long").alias(m) for m in MEASURES])
     bits = [F.when(rule(), F.lit(BITS[name])).otherwise(F.lit(0)) for name, rule in RULES.items()]
     ledger = bits[0]
     for bit in bits[1:]:

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridseries.llm.text import free_name
+
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
          ("block", "net/fr/"))
 
@@ -86,18 +88,18 @@ def rule_for(table, host: str, path: str) -> tuple[str, str] | None:
 def judge(pages: DataFrame, url: str = "url", rules=RULES, strict: tuple[str, ...] = STRICT,
           soft: tuple[str, ...] = SOFT, soft_limit: int = SOFT_LIMIT) -> DataFrame:
     """The input with host, path, rule, verdict and terms."""
-    source = pages.withColumn("_url", F.col(f"`{url}`").cast("string"))
-    kept = [c for c in pages.columns if c.lower() not in RESULT]
-    source = source.select(*[F.col(f"`{c}`") for c in kept], "_url")
-    full = F.coalesce(F.col("_url"), F.lit(""))
+    address = free_name([*pages.columns, *RESULT], "address")
+    kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in RESULT]
+    source = pages.select(*kept, F.coalesce(F.col(f"`{url}`").cast("string"), F.lit("")).alias(address))
+    full = F.col(address)
     parts = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     capital = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     source = source.withColumns({
         "host": F.translate(F.regexp_extract(full, parts, 1), capital, capital.lower()),
         "path": F.regexp_extract(full, parts, 2),
-        "_url": F.translate(full, capital, capital.lower())})
+        address: F.translate(full, capital, capital.lower())})
     table = by_host(rules)
-    fields = [f for f in source.schema if f.name != "_url"]
+    fields = [f for f in source.schema if f.name != address]
     added = T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in list(RESULT.items())[2:]))
     schema = T.StructType([*fields, *added])
 
@@ -105,12 +107,12 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, strict: tuple[str, ..
         machine = automaton(strict, soft)
         for batch in batches:
             out = []
-            for address, host, path in zip(batch["_url"], batch["host"], batch["path"], strict=True):
+            for link, host, path in zip(batch[address], batch["host"], batch["path"], strict=True):
                 decided = rule_for(table, host, path)
-                hard, mild = terms_in(machine, address)
+                hard, mild = terms_in(machine, link)
                 verdict = decided[0] if decided else "block" if hard or len(mild) >= soft_limit else "allow"
                 out.append((decided[1] if decided else None, verdict, hard, mild))
             columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield batch.drop(columns="_url").assign(**dict(zip(list(RESULT)[2:], map(list, columns), strict=True)))
+            yield batch.drop(columns=address).assign(**dict(zip(list(RESULT)[2:], map(list, columns), strict=True)))
 
     return source.mapInPandas(run, schema)

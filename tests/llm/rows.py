@@ -13,7 +13,12 @@ ROWS = [
 ]
 #: Names that results of the operators bear, and names used on the way.
 CLASHING = ["size", "Kept", "score", "n_words", "failures", "detections", "removed_lines", "target", "placed", "block",
-            "fingerprint", "component_id", "a", "b", "key", "node", "text_hash", "shard", "Predicted", "hash", "words"]
+            "fingerprint", "component_id", "a", "b", "_id", "_hash", "_removed", "_url", "_found", "_m", "_text_hash", "_source",
+            "found", "found_id", "found_hash", "found_lines", "bad_id", "bad_hash", "keeper_id", "keeper_hash", "own_hash",
+            "address", "row", "source_no", "blocks", "passes", "rest", "h1", "h2", "number", "times", "chunk", "copies", "ranks",
+            "result", "value", "grp", "part", "digest", "lines", "least", "content", "at", "len", "windows", "shingle", "own",
+            "other", "shift", "item_id", "item_hash", "n_shingles", "set_key", "root", "first", "keeper", "sketch", "base_places",
+            "w", "l", "removed", "text_", "found_", "key", "node", "text_hash", "shard", "Predicted", "hash", "words"]
 
 
 def documents(spark, rows=None, extra=True):

@@ -4,6 +4,7 @@ import dataclasses
 import itertools
 import random
 import re
+import time
 
 import pytest
 
@@ -197,3 +198,56 @@ def test_repeats_within_a_text(spark):
     docs = documents(spark, [(1, "\n".join([row] * 5 + ["end"]), "s")], extra=False)
     assert lines.dedup(docs).first()["removed_lines"] == [1, 2, 3, 4]
 
+
+
+def seconds(run):
+    started = time.perf_counter()
+    run()
+    return time.perf_counter() - started
+
+
+def test_many_detections_cost_what_prose_costs(spark):
+    def scanned(text):
+        docs = documents(spark, [(1, text, "s")], extra=False)
+        return lambda: found.append(licenses.scan(docs).first())
+
+    found = []
+    scanned("warm up with the mit license")()
+    prose = seconds(scanned("amber tree fox bar baz " * 8000))
+    named = seconds(scanned("mit license foo bar baz " * 8000))
+    assert len(found[2]["detections"]) == 8000
+    assert [(d["first"], d["last"]) for d in found[2]["detections"][-2:]] == [(5 * 7998, 5 * 7998 + 1), (5 * 7999, 5 * 7999 + 1)]
+    assert named < 10 * prose + 5
+
+
+def test_fingerprints_are_fewer_than_lines_and_find_shifted_runs(spark):
+    rng = random.Random(2)
+    run = [" ".join(f"w{rng.randrange(9999)}" for _ in range(rng.randrange(1, 7))) for _ in range(40)]
+    fill = [[" ".join(f"x{rng.randrange(9999)}" for _ in range(5)) for _ in range(n)] for n in (30, 17, 55)]
+    docs = documents(spark, [(i, "\n".join(f + run + f[:3]), "s") for i, f in enumerate(fill)], extra=False)
+    lined, prints = lines.fingerprints(docs)
+    assert prints.count() < sum(len(r["lines"]) for r in lined.collect()) / 2
+    removed = {r["doc_id"]: list(r["removed_lines"]) for r in lines.dedup(docs).collect()}
+    assert removed == {0: [], 1: list(range(17, 57)), 2: list(range(55, 95))}
+
+
+def test_equal_minima(spark):
+    """One line repeated: every window has the same least hash at every place."""
+    line = "the same eight words stand in every line"
+    docs = documents(spark, [(1, "\n".join([line] * 30), "s"), (2, "\n".join([line] * 21 + ["end of it"]), "s"),
+                             (3, "\n".join([line] * 6), "s")], extra=False)
+    assert {r["doc_id"] for r in lines.fingerprints(docs)[1].collect()} == {1, 2}  # the third text has too few words
+    removed = {r["doc_id"]: list(r["removed_lines"]) for r in lines.dedup(docs).collect()}
+    assert removed == {1: list(range(1, 30)), 2: list(range(21)), 3: []}
+
+
+def test_long_texts_of_lines_take_linear_time(spark):
+    def deduped(n):
+        text = "\n".join(f"line {i} of words that stand in two texts" for i in range(n))
+        docs = documents(spark, [(1, text, "s"), (2, text + "\nmore", "s")], extra=False)
+        return lambda: found.append(lines.dedup(docs).filter("size(removed_lines) > 0").count())
+
+    found = []
+    deduped(100)()
+    short, long = seconds(deduped(4000)), seconds(deduped(32_000))
+    assert found == [1, 1, 1] and long < 8 * short + 10
