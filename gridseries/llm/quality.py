@@ -71,8 +71,6 @@ POLICIES = {p.version: p for p in (
            ("duplicate_lines", "word_length", "ellipsis_lines", "bullet_lines"), 2),
 )}
 PRODUCTION = "v2"
-#: The rules that the SQL of ``op2_quality`` states, by its policy v1.
-STATED = sum(BITS[r] for r in RULES if r != "few_distinct_near")
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letter_words",
             "n_upper_words", "n_exclamations", "n_distinct_words", "n_ellipsis_lines", "n_bullet_lines",

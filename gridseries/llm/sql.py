@@ -28,21 +28,25 @@ m as (
     len(list_filter(w, lambda x: upper(x) = x and lower(x) <> x)) as n_upper_words,
     length(t) - length(replace(t, '!', '')) as n_exclamations, len(list_distinct(w)) as n_distinct_words,
     len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) as n_ellipsis_lines,
-    len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•‣●]'))) as n_bullet_lines
+    len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•‣●]'))) as n_bullet_lines,
+    case when n <= 4096 then len(list_distinct(w)) else list_sum(list_transform(range((n - 1) // 4096 + 1), lambda k:
+      len(list_distinct(list_slice(w, least(k * 4096, n - 4096) + 1, least(k * 4096, n - 4096) + 4096))))) end as near_distinct,
+    case when n <= 4096 then n else ((n - 1) // 4096 + 1) * 4096 end as near_words
   from l left join covered using (r)),
 f as (
   select *, n_words < 20 as f0, 100 * n_repeat_words > 30 * n_words as f1, 100 * n_symbols > 10 * n_words as f2,
     100 * n_letter_words < 60 * n_words as f3, 100 * n_upper_words > 50 * n_words as f4,
     100 * n_exclamations > 30 * n_words as f5, 100 * n_distinct_words < 15 * n_words as f6,
     100 * n_dup_lines > 50 * n_lines as f7, word_chars < 2 * n_words or word_chars > 20 * n_words as f8,
-    100 * n_ellipsis_lines > 30 * n_lines as f9, 100 * n_bullet_lines > 90 * n_lines as f10
+    100 * n_ellipsis_lines > 30 * n_lines as f9, 100 * n_bullet_lines > 90 * n_lines as f10,
+    100 * near_distinct < 15 * near_words as f11
   from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 or f1 as base_failed,
-  not (f0 or f1 or f2 or f3 or f4 or f5 or f6)
+  not (f0 or f1 or f2 or f3 or f4 or f5 or f11)
     and cast(f7 as int) + cast(f8 as int) + cast(f9 as int) + cast(f10 as int) < 2 as kept,
   cast(cast(f0 as int) + 2 * cast(f1 as int) + 4 * cast(f2 as int) + 8 * cast(f3 as int) + 16 * cast(f4 as int)
     + 32 * cast(f5 as int) + 64 * cast(f6 as int) + 128 * cast(f7 as int) + 256 * cast(f8 as int)
-    + 512 * cast(f9 as int) + 1024 * cast(f10 as int) as bigint) as failures
+    + 512 * cast(f9 as int) + 1024 * cast(f10 as int) + 2048 * cast(f11 as int) as bigint) as failures
 from f
 """
 

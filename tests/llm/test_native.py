@@ -47,7 +47,7 @@ def test_ablation_counts_rules_that_decide_alone(spark):
     assert [r["n_rows"] for r in quality.ablation(quality.measure(nothing(spark))).collect()] == [0] * len(rows)
 
 
-def test_long_clean_texts_are_kept(spark):
+def test_long_clean_texts_are_kept(spark, monkeypatch):
     """A long text whose share of distinct words falls below 15 % by its length alone, and junk of every length."""
     draw = random.Random(6)
     book = " ".join(f"word{draw.randrange(6000)}" for _ in range(60_000))
@@ -56,6 +56,9 @@ def test_long_clean_texts_are_kept(spark):
     judged = {r["doc_id"]: r for r in quality.apply_policy(quality.measure(documents(spark, rows, extra=False))).collect()}
     assert judged[0]["n_distinct_words"] * 100 < 15 * judged[0]["n_words"]
     assert [judged[i]["kept"] for i in range(5)] == [True, False, False, False, False]
+    monkeypatch.setattr(queries, "table", lambda *_: documents(spark, rows, extra=False))
+    asked = {r["doc_id"]: r["kept"] for r in queries.op2_quality(spark, "").collect()}
+    assert asked == {i: r["kept"] for i, r in judged.items()}
     words, size = book.split(), quality.DISTINCT_WINDOW
     starts = [min(k * size, 60_000 - size) for k in range(15)]
     assert judged[0]["n_window_distinct"] == sum(len(set(words[i: i + size])) for i in starts)
