@@ -14,7 +14,7 @@ from gridseries.operators.profile import dataset_summary, describe
 from gridseries.plans.cleaning import clean
 from gridseries.plans.master import master_dataset
 from gridseries.plans.scenario import assert_ranges, expand_months, predicted_values, prediction_records, scenario_features
-from gridseries.plans.scoring import AnomalyModel, fit_anomaly_model, prediction_errors, split_rows
+from gridseries.plans.scoring import fit_anomaly_model, fit_joint_model, load_model, prediction_errors, split_rows
 from gridseries.schemas import CLIMATE, MASTER, SCENARIO
 from gridseries.session import build_session, path_exists, scratch_removed
 from gridseries.sources import grids, manifests, responses, tables
@@ -97,21 +97,24 @@ def predict_requests(spark: SparkSession, requests: DataFrame, model_folder: str
     normals = tables.read_baselines(spark, baselines) if baselines else None
     asked = expand_months(assert_ranges(requests))
     frame = scenario_features(asked, normals, stored=True)
-    return predicted_values(AnomalyModel.load(spark, model_folder).predict(frame))
+    return predicted_values(load_model(spark, model_folder).predict(frame))
 
 
-def train(spark: SparkSession, input_path: str, model_folder: str, kind: str = "gbt") -> DataFrame:
+def train(spark: SparkSession, input_path: str, model_folder: str, kind: str = "network") -> DataFrame:
     """Fit on 70 % of a model-ready table; gives the metrics on the test part."""
     rows = split_rows(spark.read.parquet(input_path), ["location_id", "time"])
-    model = fit_anomaly_model(rows.where("part <> 'test'").withColumn("_held", F.col("part") == "validation"), kind,
-                              validation="_held")
+    known = rows.where("part <> 'test'").withColumn("_held", F.col("part") == "validation")
+    if kind == "network":
+        model = fit_joint_model(known, validation="_held")
+    else:
+        model = fit_anomaly_model(known, kind, validation="_held")
     model.save(spark, model_folder)
     return regression_metrics(model.predict(rows.where("part = 'test'")))
 
 
 def score_table(spark: SparkSession, input_path: str, model_folder: str, output: str) -> DataFrame:
     """Predictions and errors for a model-ready table; gives metrics and writes all rows."""
-    scored = prediction_errors(AnomalyModel.load(spark, model_folder).predict(spark.read.parquet(input_path)))
+    scored = prediction_errors(load_model(spark, model_folder).predict(spark.read.parquet(input_path)))
     tables.write_table(scored, output)
     return spark.read.parquet(output)
 
@@ -157,7 +160,7 @@ def main(arguments: list[str] | None = None) -> None:
     job = jobs.add_parser("train")
     job.add_argument("--input", required=True)
     job.add_argument("--model", required=True)
-    job.add_argument("--kind", choices=["linear", "gbt"], default="gbt")
+    job.add_argument("--kind", choices=["linear", "gbt", "network"], default="network")
 
     job = jobs.add_parser("score")
     job.add_argument("--input", required=True)
@@ -211,7 +214,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         overall_loss(scored).show()
     elif options.job == "stream":
         start_scoring(spark, options.landing, options.output, options.checkpoint,
-                      AnomalyModel.load(spark, options.model).predict, options.alerts, packed=options.packed,
+                      load_model(spark, options.model).predict, options.alerts, packed=options.packed,
                       once=not options.forever).awaitTermination()
 
 

@@ -765,10 +765,14 @@ def score_stream(spark, folder):
     return rounded(landing.read_scored(spark, sink).drop("batch_id"), *_SCORED)
 
 
+def _placed_windows(spark, folder) -> DataFrame:
+    return responses.with_coordinates(_windows(spark, folder), views.locations(spark, folder))
+
+
 def _model_rows(spark, folder) -> DataFrame:
-    """Windows with features, split by an arithmetic of place and month that SQL can state as well."""
+    """Windows with all features, split by an arithmetic of place and month that SQL can state as well."""
     place = (F.col("location_id") * 7 + F.col("year") * 13 + F.col("month") * 3) % 20 / 20
-    rows = scoring.window_features(_windows(spark, folder), ["location_id"])
+    rows = scoring.window_features(_placed_windows(spark, folder), ["location_id"])
     return materialize(scoring.split_rows(rows, ["location_id", "date"], place=place), "model-rows")
 
 
@@ -789,7 +793,7 @@ def score_model(spark, folder):
 def predict_windows(spark, folder):
     """Trailing windows through features, scaler and fitted model."""
     model = _line_model(_model_rows(spark, folder))
-    return rounded(scoring.score_windows(_windows(spark, folder), ["location_id"], model.predict), *_SCORED)
+    return rounded(scoring.score_windows(_placed_windows(spark, folder), ["location_id"], model.predict), *_SCORED)
 
 
 @query
@@ -800,3 +804,31 @@ def model_metrics(spark, folder):
     rows = _model_rows(spark, folder).withColumns(steps).withColumn("held", F.col("part") == "validation")
     model = scoring.fit_anomaly_model(rows.where("part <> 'test'"), "gbt", features=["month"], validation="held")
     return rounded(V.regression_metrics(model.predict(rows.where("part = 'test'"))), "mae", "rmse", "r2", places=4)
+
+
+def _joint_model(rows: DataFrame):
+    known = rows.where("part <> 'test'").withColumn("held", F.col("part") == "validation")
+    return scoring.fit_joint_model(known, validation="held")
+
+
+@query
+def score_network(spark, folder):
+    """All 18 scaled features to both targets by one network."""
+    rows = _model_rows(spark, folder)
+    scored = scoring.prediction_errors(_joint_model(rows).predict(rows))
+    numbers = [*TARGETS, *[f"{t}_predicted" for t in TARGETS], "T2M_error", "PRECTOTCORR_error"]
+    return rounded(scored.select("location_id", "date", "part", *numbers), *numbers)
+
+
+@query
+def network_metrics(spark, folder):
+    rows = _model_rows(spark, folder)
+    judged = _joint_model(rows).predict(rows.where("part = 'test'"))
+    return rounded(V.regression_metrics(judged), "mae", "rmse", "r2", places=4)
+
+
+@query
+def predict_network(spark, folder):
+    """Trailing windows through all 18 features and the fitted network, with the nested answers' summaries."""
+    model = _joint_model(_model_rows(spark, folder))
+    return rounded(scoring.score_windows(_placed_windows(spark, folder), ["location_id"], model.predict), *_SCORED)

@@ -8,13 +8,15 @@ from functools import reduce
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridseries.operators.features import (
     cyclical_month, deviation_from_mean, measured_features, relative_year_norm, season_dummies, transformed_features)
+from gridseries.operators.network import Network, Training, fit_network
 from gridseries.operators.scaling import Scaler, fit_scaler
 from gridseries.schemas import FEATURES, TARGETS
+from gridseries.session import path_exists, remove_path
 
 REGRESSORS = {"linear": LinearRegression, "gbt": GBTRegressor}
 
@@ -43,6 +45,7 @@ class AnomalyModel:
         return frame.drop(*names.values(), "_features", "_complete")
 
     def save(self, spark, folder: str) -> None:
+        remove_path(spark, f"{folder}/network")  # a model of the other kind saved there before
         self.scaler.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(f"{folder}/scaler")
         for target, regressor in self.regressors.items():
             PipelineModel([regressor]).write().overwrite().save(f"{folder}/{target}")
@@ -54,6 +57,20 @@ class AnomalyModel:
             scaler, {t: PipelineModel.load(f"{folder}/{t}").stages[0] for t in targets}, features)
 
 
+def load_model(spark: SparkSession, folder: str, targets: list[str] = TARGETS,
+               features: list[str] = FEATURES) -> AnomalyModel | Network:
+    """A stored model of either kind."""
+    if path_exists(spark, f"{folder}/network"):
+        return Network.load(spark, folder)
+    return AnomalyModel.load(spark, folder, targets, features)
+
+
+def fit_joint_model(df: DataFrame, features: list[str] = FEATURES, targets: list[str] = TARGETS,
+                    validation: str | None = None, how: Training = Training()) -> Network:
+    """One network for all targets over all scaled features."""
+    return fit_network(df, features, targets, validation, how)
+
+
 def split_rows(df: DataFrame, keys: list[str], shares: tuple[float, float] = (0.70, 0.15),
                place: Column | None = None) -> DataFrame:
     """Add ``part``: train, validation or test, by ``place`` from 0 to 1, or a hash of the keys, the same in every run."""
@@ -128,13 +145,20 @@ def _summary(columns: tuple[str, ...]) -> list[Column]:
 
 
 def response_records(scored: DataFrame, request: list[str], most: int = 60) -> DataFrame:
-    """The nested answer per request: list and summary in one aggregate. A request over ``most`` months is an error."""
+    """The nested answer per request: list and summary in one aggregate. A request over ``most`` months is an error.
+
+    Months are counted before they are listed, and the list takes nothing of a request that is too long.
+    """
     entry = F.struct("date", "temperature_anomaly", "precipitation_anomaly",
                      "actual_temperature", "actual_precipitation")
-    answers = scored.groupBy(*request).agg(
-        F.array_sort(F.collect_list(entry)).alias("predictions"), *_summary(("temperature_anomaly", "precipitation_anomaly")))
+    summary = scored.groupBy(*request).agg(*_summary(("temperature_anomaly", "precipitation_anomaly")))
     too_long = F.raise_error(F.concat(F.lit(f"a request has more than {most} months: "), F.col("samples").cast("string")))
-    return answers.withColumn("samples", F.when(F.col("samples") > most, too_long.cast("bigint")).otherwise(F.col("samples")))
+    checked = summary.withColumn("samples", F.when(F.col("samples") > most, too_long.cast("bigint")).otherwise(F.col("samples")))
+    # The counted table carries the check: a row joins, and is listed, only once its request has passed.
+    within = scored.alias("s").join(checked.alias("c"), [F.col(f"s.{c}").eqNullSafe(F.col(f"c.{c}")) for c in request])
+    return within.groupBy(*[F.col(f"c.{c}").alias(c) for c in request], *[c for c in checked.columns if c not in request]).agg(
+        F.array_sort(F.collect_list(entry)).alias("predictions")).select(
+        *request, "predictions", *[c for c in checked.columns if c not in request])
 
 
 def latest_rows(df: DataFrame, keys: list[str], order_by: list[str], count: int = 3) -> DataFrame:

@@ -62,8 +62,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def remove_scratch(spark: SparkSession) -> None:
     """Delete what this application has handed over between its steps; frames that read it can't be used any more."""
     for path in _scratch.pop(spark.sparkContext.applicationId, []):
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file, if it is there, on whatever file system its scheme names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 @contextmanager
