@@ -16,7 +16,7 @@ from gridseries.plans import artifacts, cleaning, master, scenario, scoring, vie
 from gridseries.schemas import CONTINUOUS, FEATURES, PARAMETERS, TARGETS, TEMPERATURES
 from gridseries.session import materialize, scratch_path
 from gridseries.sources import grids, manifests, responses, tables
-from gridseries.streaming import landing
+from gridseries.streaming import landing, pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -765,6 +765,27 @@ def score_stream(spark, folder):
     return rounded(landing.read_scored(spark, sink).drop("batch_id"), *_SCORED)
 
 
+@query
+def score_pieces(spark, folder):
+    """Lands every third month of each window in another file, and collects, closes and scores the windows as a stream."""
+    parsed = responses.parse_text(views.responses(spark, folder), "response")
+    by_parameter = F.col("properties.parameter")
+
+    def third(k: int):
+        some = F.transform_values(by_parameter, lambda _, months: F.map_filter(
+            months, lambda period, _: F.substr(period, F.lit(5), F.lit(2)).cast("int") % 3 == k))
+        return F.struct(some.alias("parameter"))
+
+    whole = F.size(F.filter(F.map_keys(F.map_values(by_parameter)[0]), lambda p: ~F.endswith(p, F.lit("13"))))
+    inbox, sink, mark = (scratch_path(spark, n) for n in ("pieces", "scored", "stream"))
+    for k in range(3):
+        landed = F.to_timestamp(F.lit(f"2024-01-01 0{k}:00:00"))
+        parsed.select("location_id", "request", whole.alias("months"), landed.alias("landed_at"),
+                      third(k).alias("properties")).write.mode("append").json(inbox)
+    pieces.start_scoring_pieces(spark, inbox, sink, mark, scoring.damped_anomaly(), files_per_trigger=8).awaitTermination()
+    return rounded(landing.read_scored(spark, sink).drop("batch_id"), *_SCORED)
+
+
 def _placed_windows(spark, folder) -> DataFrame:
     return responses.with_coordinates(_windows(spark, folder), views.locations(spark, folder))
 

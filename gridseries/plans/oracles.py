@@ -845,14 +845,16 @@ select bin, {r('any_value(low)')} as low, {r('any_value(high)')} as high, count(
 from edges left join errors on e >= low and (e < high or (closed and e <= high)) group by bin
 """)
 
-_add("score_stream", "series", f"""
+_STREAM = f"""
 with stream_rows as (select *, year(time)::VARCHAR as request from series),
 scored as (select location_id, request, strftime(time, '%Y-%m') as date,
   0.5::DOUBLE * (T2M - avg(T2M) over p) as a, 0.5::DOUBLE * (PRECTOTCORR - avg(PRECTOTCORR) over p) as b,
   T2M, PRECTOTCORR from stream_rows window p as (partition by location_id, request))
 select location_id, request, date, {r('a')} as temperature_anomaly, {r('b')} as precipitation_anomaly,
   {r('T2M')} as actual_temperature, {r('PRECTOTCORR')} as actual_precipitation from scored
-""")
+"""
+_add("score_stream", "series", _STREAM)
+_add("score_pieces", "series", f"select *, true as complete from ({_STREAM})")
 
 
 _add("onehot_many", "", """
