@@ -93,9 +93,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, fold: int = 0, max_rows: i
     share = min(1.0, max_rows / max(known.count(), 1))
     spread = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("doc_id")), F.lit(1 << 20))
     chosen = known.filter(spread < int(share * (1 << 20)))
-    # max_rows bounds the chosen labels; a document that comes twice with one id is two rows.
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select(
-        "text", F.col("toxic").cast("int").alias("toxic"))
+    labelled = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # max_rows bounds the chosen labels, so an id that many documents share gives one of their texts, by hash.
+    return labelled.groupBy("doc_id", F.col("toxic").cast("int").alias("toxic")).agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic")
 
 
 def telling_pieces(rows: DataFrame, toxic: int, clean: int, most: int = MAX_PIECES) -> list[int]:

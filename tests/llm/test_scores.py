@@ -168,3 +168,12 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.score(nothing(spark), model).count() == 0
     unlabelled = toxicity.train(docs, nothing(spark, "doc_id long, toxic int"))
     assert unlabelled.weights == {} and unlabelled.intercept == 0
+
+
+def test_a_shared_id_is_one_training_row(spark):
+    docs = spark.range(4000).selectExpr("cast(1 as long) as doc_id", "concat('text ', id) as text").unionByName(
+        spark.range(2, 50).selectExpr("id as doc_id", "concat('other ', id) as text"))
+    labels = spark.range(1, 50).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic", "1 as quality")
+    rows = toxicity.training_rows(docs, labels, max_rows=1000).collect()
+    assert len(rows) == toxicity.training_rows(docs.dropDuplicates(["doc_id"]), labels, max_rows=1000).count()
+    assert sum(r["text"].startswith("text") for r in rows) <= 1
