@@ -12,8 +12,9 @@ from gridseries.session import materialize
 
 # Up to this many categories of a column become a constant in the plan; more are joined.
 LITERAL_CATEGORIES = 1000
-# Up to this many categories of a column get a 0/1 column each; more become one sparse vector column.
+# More 0/1 columns of one source column than this are an error: such a table is asked for as vectors.
 ONEHOT_COLUMNS = 500
+FORMS = ("columns", "vector")
 
 METHODS = ("onehot", "label")
 
@@ -80,29 +81,35 @@ def apply_labels(df: DataFrame, categories: DataFrame, columns: list[str] | None
     return df
 
 
-def onehot_categories(categories: DataFrame, most: int = ONEHOT_COLUMNS) -> tuple[dict[str, list[str]], dict[str, int]]:
-    """Categories that get a column (all but the first of each source column), and the sizes of columns with too many."""
+def onehot_categories(categories: DataFrame, most: int = ONEHOT_COLUMNS) -> dict[str, list[str]]:
+    """The categories that get a 0/1 column: all but the first of each source column."""
     sizes = {r["column"]: r["n"] for r in categories.groupBy("column").agg(F.max("code").alias("n")).collect()}
-    few = sorted(c for c, n in sizes.items() if n <= most)
-    kept: dict[str, list[str]] = {c: [] for c in few}
+    large = sorted(c for c, n in sizes.items() if n > most)
+    if large:
+        raise ValueError(f"more than {most} 0/1 columns for each of {large}: ask for the form 'vector'")
+    kept: dict[str, list[str]] = {c: [] for c in sorted(sizes)}
     # At most ``most`` rows per column reach the driver.
-    for row in categories.where(F.col("column").isin(few) & (F.col("code") > 0)).orderBy("column", "code").collect():
+    for row in categories.where(F.col("code") > 0).orderBy("column", "code").collect():
         kept[row["column"]].append(row["category"])
-    return kept, {c: n for c, n in sorted(sizes.items()) if n > most}
+    return kept
 
 
-def apply_onehot(df: DataFrame, categories: DataFrame, most: int = ONEHOT_COLUMNS) -> DataFrame:
-    """0/1 columns ``<column>_<category>`` for the stored categories; sources go, NULL and unknown give 0.
+def apply_onehot(df: DataFrame, categories: DataFrame, form: str = "columns", most: int = ONEHOT_COLUMNS) -> DataFrame:
+    """The stored categories one-hot, in the form that the caller names, whatever their number; the source columns go.
 
-    A column with more than ``most`` categories gives ``<column>_onehot`` instead: size, indices and values of a sparse
-    vector, index 0 for the second category.
+    ``columns`` gives 0/1 columns ``<column>_<category>``, NULL and unknown give 0. ``vector`` gives ``<column>_onehot``: size,
+    indices and values of a sparse vector, index 0 for the second category; NULL and unknown give an empty one.
     """
-    kept, large = onehot_categories(categories, most)
-    added = {
-        f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, values in kept.items() for v in values
-    }
-    df = (df.withColumns(added) if added else df).drop(*kept)
-    for c, size in large.items():
+    if form not in FORMS:
+        raise ValueError(f"unknown one-hot form: {form}")
+    if form == "columns":
+        kept = onehot_categories(categories, most)
+        added = {
+            f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, values in kept.items() for v in values
+        }
+        return (df.withColumns(added) if added else df).drop(*kept)
+    sizes = {r["column"]: r["n"] for r in categories.groupBy("column").agg(F.max("code").alias("n")).collect()}
+    for c, size in sorted(sizes.items()):
         renamed = categories.where(F.col("column") == c).select(F.col("category").alias(c), (F.col("code") - 1).alias("_at"))
         hot = F.col("_at") >= 0
         vector = F.struct(
@@ -114,7 +121,7 @@ def apply_onehot(df: DataFrame, categories: DataFrame, most: int = ONEHOT_COLUMN
 
 
 def encode_categorical(df: DataFrame, method: str = "onehot", columns: list[str] | None = None,
-                       categories: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                       categories: DataFrame | None = None, form: str = "columns") -> tuple[DataFrame, DataFrame]:
     """Fit (without ``categories``) and apply; gives the frame and the fitted table."""
     if method not in METHODS:
         raise ValueError(f"unknown encoding method: {method}")
@@ -125,5 +132,5 @@ def encode_categorical(df: DataFrame, method: str = "onehot", columns: list[str]
         if unfitted:
             raise ValueError(f"columns were never fitted: {sorted(unfitted)}")
         categories = categories.where(F.col("column").isin(columns))
-    apply = apply_onehot if method == "onehot" else apply_labels
-    return apply(df, categories), categories
+    encoded = apply_onehot(df, categories, form) if method == "onehot" else apply_labels(df, categories)
+    return encoded, categories

@@ -22,9 +22,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PERIOD = (1995, 1998)
 AS_OF = dt.date(2024, 12, 15)
-# Small enough to cut the groups of the small test tables as well, so that their check covers the cuts.
-SMALL_BLOCK = 40
-SMALL_TABLE_BLOCK = 500
 
 _QUERIES: dict[str, Query] = {}
 
@@ -172,7 +169,7 @@ def lags(spark, folder):
 
 @query
 def lags_cut(spark, folder):
-    return X.lag_features(materialize(views.series(spark, folder), "series"), block_rows=SMALL_BLOCK)
+    return X.lag_features(materialize(views.series(spark, folder), "series"), block_rows=O.BLOCK_ROWS)
 
 
 @query
@@ -354,14 +351,12 @@ def fill_mode(spark, folder):
 
 @query
 def fill_ffill(spark, folder):
-    return M.fill_missing(views.unique_dirty(spark, folder), "forward_fill", ["event_id"],
-                          block_rows=SMALL_TABLE_BLOCK)
+    return M.fill_missing(views.unique_dirty(spark, folder), "forward_fill", ["event_id"])
 
 
 @query
 def fill_interp_all(spark, folder):
-    result = M.fill_missing(views.unique_dirty(spark, folder), "interpolate", ["event_id"],
-                            block_rows=SMALL_TABLE_BLOCK)
+    result = M.fill_missing(views.unique_dirty(spark, folder), "interpolate", ["event_id"])
     return rounded(result, "T2M", "RH2M")
 
 
@@ -374,7 +369,7 @@ def fill_interp_group(spark, folder):
 @query
 def fill_interp_cut(spark, folder):
     result = O.interpolate(views.unique_dirty(spark, folder), ["T2M", "RH2M"], ["location_id"], ["time", "event_id"],
-                           SMALL_BLOCK)
+                           O.BLOCK_ROWS)
     return rounded(C.nan_to_null(result), "T2M", "RH2M")
 
 
@@ -385,7 +380,7 @@ def fill_drop(spark, folder):
 
 @query
 def fill_smart(spark, folder):
-    result = M.fill_missing(views.unique_dirty(spark, folder), "smart", ["event_id"], block_rows=SMALL_TABLE_BLOCK)
+    result = M.fill_missing(views.unique_dirty(spark, folder), "smart", ["event_id"])
     return rounded(result, "T2M", "RH2M")
 
 
@@ -540,9 +535,9 @@ def onehot_apply(spark, folder):
 def onehot_many(spark, folder):
     """A column with more categories than a table can have columns."""
     frame = spark.read.parquet(f"{folder}/customer.parquet").select("c_custkey", "c_name")
-    categories = materialize(E.fit_categories(frame, ["c_name"], block_rows=SMALL_TABLE_BLOCK), "categories")
+    categories = materialize(E.fit_categories(frame, ["c_name"]), "categories")
     vector = F.col("c_name_onehot")
-    return E.apply_onehot(frame, categories, most=100).select(
+    return E.apply_onehot(frame, categories, "vector").select(
         "c_custkey", vector["size"].alias("size"), F.coalesce(F.get(vector["indices"], 0), F.lit(-1)).alias("index"))
 
 
@@ -556,7 +551,7 @@ def label_encode(spark, folder):
 def label_encode_many(spark, folder):
     """One category per customer name: beyond the constants, codes come by a join."""
     frame = views.table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    categories = materialize(E.fit_categories(frame, block_rows=SMALL_TABLE_BLOCK), "categories")
+    categories = materialize(E.fit_categories(frame), "categories")
     return E.apply_labels(frame, categories)
 
 
@@ -571,8 +566,7 @@ _CLEANED = ["event_id", "T2M", "RH2M", "PRECTOTCORR", "season"]
 
 def _cleaned(spark, folder) -> tuple[DataFrame, str]:
     models = scratch_path(spark, "models")
-    cleaned, _ = cleaning.clean(views.dirty(spark, folder), order_by=["event_id"], artifacts_folder=models,
-                                block_rows=SMALL_TABLE_BLOCK)
+    cleaned, _ = cleaning.clean(views.dirty(spark, folder), order_by=["event_id"], artifacts_folder=models)
     return cleaned, models
 
 
@@ -580,8 +574,7 @@ def _cleaned(spark, folder) -> tuple[DataFrame, str]:
 def clean_apply(spark, folder):
     """Inference: the encoder and scaler of an earlier run are read back and applied."""
     fitted = artifacts.load_artifacts(spark, _cleaned(spark, folder)[1])
-    applied, _ = cleaning.clean(views.dirty(spark, folder), fitted, order_by=["event_id"], with_report=False,
-                                block_rows=SMALL_TABLE_BLOCK)
+    applied, _ = cleaning.clean(views.dirty(spark, folder), fitted, order_by=["event_id"], with_report=False)
     return rounded(applied, *_CLEANED)
 
 

@@ -160,6 +160,25 @@ def test_onehot(spark):
     batch = spark.createDataFrame([(0, "b"), (1, "c")], "i int, col string")
     applied, _ = encoding.encode_categorical(batch, "onehot", categories=fitted)
     assert (column(applied, "col_b"), column(applied, "col_c")) == ([1, 0], [0, 1])
+    hot, _ = encoding.encode_categorical(train, "onehot", form="vector")
+    assert hot.columns == ["i", "col_onehot"]
+    assert [(v["size"], v["indices"], v["values"]) for v in column(hot, "col_onehot")] == [
+        (2, [0], [1.0]), (2, [], []), (2, [1], [1.0]), (2, [], [])]
+
+
+def test_the_form_decides_the_schema_not_the_number_of_categories(spark):
+    def shapes(n):
+        table = spark.range(n).selectExpr("id", "concat('v', id) as col")
+        fitted = encoding.fit_categories(table)
+        wide = [(f.name, f.dataType) for f in encoding.apply_onehot(table, fitted, "vector").schema]
+        return wide, fitted
+
+    few, many = shapes(3), shapes(600)
+    assert few[0] == many[0]
+    with pytest.raises(ValueError, match="vector"):
+        encoding.apply_onehot(spark.createDataFrame([("v1",)], "col string"), many[1])
+    with pytest.raises(ValueError, match="form"):
+        encoding.apply_onehot(spark.createDataFrame([("v1",)], "col string"), many[1], "dense")
 
 
 def test_labels(spark):
