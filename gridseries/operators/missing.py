@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 
 from gridseries.functions.columns import INFINITY, nan_to_null
 from gridseries.operators.ordered import BLOCK_ROWS, forward_fill, interpolate
-from gridseries.operators.quantiles import quantiles
+from gridseries.operators.quantiles import brackets, quantiles
 from gridseries.schemas import NOT_MEASURED, numeric_columns, text_columns
-from gridseries.session import materialize
+from gridseries.session import materialize_observed
 
+MEDIAN = [0.5]
 STRATEGIES = ("smart", "mean", "median", "mode", "forward_fill", "interpolate", "drop")
 
 
@@ -63,8 +64,8 @@ def means(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     return {c: row[f"m{i}"] for i, c in enumerate(columns)}
 
 
-def medians(df: DataFrame, columns: list[str], exact: bool = True) -> dict[str, float | None]:
-    return {c: q[0] for c, q in quantiles(df, columns, [0.5], exact).items()}
+def medians(df: DataFrame, columns: list[str], exact: bool = True, seen=None) -> dict[str, float | None]:
+    return {c: q[0] for c, q in quantiles(df, columns, MEDIAN, exact, seen=seen).items()}
 
 
 def modes(df: DataFrame, columns: list[str]) -> dict:
@@ -122,8 +123,8 @@ def _fill_smart(df, order_by, group_by, time, fill_text_within, exact, block_row
     undecided = [c for c in measures if c in may_stay]
     if undecided:
         # Medians of the interpolated values: store them once instead of sorting again per pass.
-        filled = materialize(filled, "interpolated")
-        filled = fill_with(filled, medians(filled, undecided, exact))
+        filled, seen = materialize_observed(filled, "interpolated", brackets(undecided, MEDIAN) if exact else [])
+        filled = fill_with(filled, medians(filled, undecided, exact, seen))
     filled = fill_with(filled, other_medians)
     if text:
         within = [fill_text_within] if fill_text_within else []

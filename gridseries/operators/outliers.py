@@ -14,6 +14,7 @@ from gridseries.schemas import NOT_MEASURED, numeric_columns
 
 TREATMENTS = ("clip", "remove", "winsorize", "log_transform")
 TAIL = 0.05
+QUARTILES = [0.25, 0.75]
 
 
 @dataclass(frozen=True)
@@ -34,17 +35,18 @@ def measured_columns(df: DataFrame) -> list[str]:
 
 def detect_outliers(df: DataFrame, method: str = "iqr", threshold: float = 3.0,
                     columns: list[str] | None = None, exact: bool = True,
-                    reference_compat: bool = True) -> list[Outliers]:
+                    reference_compat: bool = True, seen=None) -> list[Outliers]:
     """Columns with values strictly beyond the bounds, in column order.
 
     ``iqr``: quartiles widened by ``threshold`` ranges. ``zscore``: more than ``threshold`` population
-    deviations from the mean; its bounds are usable only with ``reference_compat=False``.
+    deviations from the mean; its bounds are usable only with ``reference_compat=False``. ``seen`` holds the
+    ``brackets`` of the quartiles where an earlier pass has taken them.
     """
     chosen = columns or measured_columns(df)
     if not chosen:
         return []
     if method == "iqr":
-        bounds = _iqr_bounds(df, chosen, threshold, exact)
+        bounds = _iqr_bounds(df, chosen, threshold, exact, seen)
         beyond = {c: (F.col(c) < low) | (F.col(c) > high) for c, (low, high) in bounds.items()}
     elif method == "zscore":
         moments = _moments(df, chosen)
@@ -65,9 +67,9 @@ def detect_outliers(df: DataFrame, method: str = "iqr", threshold: float = 3.0,
     ]
 
 
-def _iqr_bounds(df, columns, threshold, exact) -> dict[str, tuple[float, float]]:
+def _iqr_bounds(df, columns, threshold, exact, seen) -> dict[str, tuple[float, float]]:
     bounds = {}
-    for c, (q1, q3) in quantiles(df, columns, [0.25, 0.75], exact).items():
+    for c, (q1, q3) in quantiles(df, columns, QUARTILES, exact, seen=seen).items():
         if q1 is not None:
             bounds[c] = (q1 - threshold * (q3 - q1), q3 + threshold * (q3 - q1))
     return bounds

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridseries.functions.columns import is_infinite
-from gridseries.operators.quantiles import quantiles
+from gridseries.operators.quantiles import brackets, quantiles
 from gridseries.schemas import numeric_columns, text_columns
 
+QUARTERS = [0.25, 0.5, 0.75]
+DESCRIPTION = ("`column` string, count bigint, mean double, std double, min double, "
+               "p25 double, p50 double, p75 double, max double")
+
 
 def is_missing(df: DataFrame, column: str) -> Column:
     value = F.col(column)
@@ -65,6 +69,28 @@ def duplicate_profile(df: DataFrame) -> DataFrame:
     ).select("count", _percent(F.col("count"), F.col("_rows")).alias("percent"))
 
 
+def quality_profile(df: DataFrame) -> dict:
+    """Missing values, infinities and duplicates of all columns from one pass: equal rows are combined first.
+
+    ``missing_values``: {column: {count, percent}}, ``inf_values``: {column: count}, both of the columns that have any,
+    ``duplicates``: {count, percent}.
+    """
+    floating = [f.name for f in df.schema if isinstance(f.dataType, T.FractionalType)]
+    copies = F.col("_copies")
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    row = groups.agg(
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct"),
+        *[F.sum(F.when(is_missing(df, c), copies)).alias(f"n{i}") for i, c in enumerate(df.columns)],
+        *[F.sum(F.when(is_infinite(F.col(c)), copies)).alias(f"i{i}") for i, c in enumerate(floating)]).first()
+    rows, again = row["rows"], row["rows"] - row["distinct"]
+    return {
+        "missing_values": {c: {"count": row[f"n{i}"], "percent": row[f"n{i}"] / rows * 100.0}
+                           for i, c in enumerate(df.columns) if row[f"n{i}"]},
+        "inf_values": {c: row[f"i{i}"] for i, c in enumerate(floating) if row[f"i{i}"]},
+        "duplicates": {"count": again, "percent": again / rows * 100.0 if rows else None},
+    }
+
+
 def dataset_summary(df: DataFrame, time: str = "time") -> DataFrame:
     """Rows, locations, first and last time, number of columns."""
     return df.agg(
@@ -79,22 +105,23 @@ def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True
              **selection) -> DataFrame:
     """``column, count, mean, std, min, p25, p50, p75, max`` per numeric column (std with n - 1)."""
     chosen = columns or numeric_columns(df.schema)
+    if not chosen:
+        return df.sparkSession.createDataFrame([], DESCRIPTION)
     values = {c: F.col(c).cast("double") for c in chosen}
-    row = df.agg(*[
+    around = brackets(chosen, QUARTERS) if exact else []
+    row = df.agg(*around, *[
         aggregate.alias(f"{name}{i}")
         for i, c in enumerate(chosen)
         for name, aggregate in (
             ("n", F.count(values[c])), ("a", F.avg(values[c])), ("s", F.stddev_samp(values[c])),
             ("l", F.min(values[c])), ("h", F.max(values[c])))
     ]).first()
-    quarters = quantiles(df, chosen, [0.25, 0.5, 0.75], exact, **selection)
+    quarters = quantiles(df, chosen, QUARTERS, exact, seen=row if exact else None, **selection)
     rows = [
         (c, row[f"n{i}"], row[f"a{i}"], row[f"s{i}"], row[f"l{i}"], *quarters[c], row[f"h{i}"])
         for i, c in enumerate(chosen)
     ]
-    return df.sparkSession.createDataFrame(
-        rows, "`column` string, count bigint, mean double, std double, min double, "
-              "p25 double, p50 double, p75 double, max double")
+    return df.sparkSession.createDataFrame(rows, DESCRIPTION)
 
 
 def describe_times(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:

@@ -18,15 +18,38 @@ _MARGIN = 2.0 / ACCURACY
 
 
 def _value(column: str) -> Column:
-    number = F.col(column).cast("double")
+    return _finite_or_null(F.col(column))
+
+
+def _finite_or_null(value: Column) -> Column:
+    number = value.cast("double")
     return F.when(~F.isnan(number), number)
 
 
+def _around(shares: list[float]) -> list[float]:
+    return sorted({p for s in shares for p in (max(0.0, s - _MARGIN), min(1.0, s + _MARGIN))})
+
+
+def brackets(columns: list[str], shares: list[float], values: dict[str, Column] | None = None) -> list[Column]:
+    """Aggregates that count each column and bracket the shares; ``quantiles`` takes their row as ``seen``.
+
+    They fit into any aggregate over the same rows, also one that is observed while the table is written.
+    ``values`` names expressions for columns that are still to be computed.
+    """
+    found = []
+    for c in columns:
+        value = _finite_or_null((values or {}).get(c, F.col(c)))
+        found += [F.count(value).alias(f"count of {c}"),
+                  F.percentile_approx(value, _around(shares), ACCURACY).alias(f"brackets of {c}")]
+    return found
+
+
 def quantiles(df: DataFrame, columns: list[str], shares: list[float], exact: bool = True,
-              gather_rows: int = GATHER_ROWS) -> dict[str, list[float | None]]:
+              gather_rows: int = GATHER_ROWS, seen=None) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, NULL and NaN skipped, all columns per pass.
 
-    ``exact=False`` gives sketch values instead: actual values of the column, one pass.
+    ``exact=False`` gives sketch values instead: actual values of the column, one pass. ``seen`` is the row (or dict)
+    of ``brackets`` for the same shares, if another pass has it already.
     """
     if not columns:
         return {}
@@ -36,11 +59,9 @@ def quantiles(df: DataFrame, columns: list[str], shares: list[float], exact: boo
         ]).first()
         return {c: list(row[f"q{i}"] or [None] * len(shares)) for i, c in enumerate(columns)}
     # One pass counts and brackets each rank: its share is known before the count is.
-    around = sorted({p for s in shares for p in (max(0.0, s - _MARGIN), min(1.0, s + _MARGIN))})
-    row = df.agg(*[f for i, c in enumerate(columns) for f in (
-        F.count(_value(c)).alias(f"n{i}"), F.percentile_approx(_value(c), around, ACCURACY).alias(f"p{i}"))]).first()
-    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    first = {c: dict(zip(around, row[f"p{i}"] or [])) for i, c in enumerate(columns)}
+    row = seen or df.agg(*brackets(columns, shares)).first()
+    counts = {c: row[f"count of {c}"] for c in columns}
+    first = {c: dict(zip(_around(shares), row[f"brackets of {c}"] or [])) for c in columns}
     ranks = {c: sorted(_ranks(counts[c], shares)) for c in columns if counts[c]}
     likely = {(c, r): (first[c][max(0.0, s - _MARGIN)], first[c][min(1.0, s + _MARGIN)])
               for c in ranks for s in shares for r in _ranks(counts[c], [s])}

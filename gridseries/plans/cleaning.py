@@ -6,25 +6,20 @@ from pyspark.sql import DataFrame
 
 from gridseries.operators.duplicates import remove_duplicates
 from gridseries.operators.encoding import apply_labels, encodable_columns, fit_categories, fitted_columns
-from gridseries.operators.infinite import handle_infinite, infinite_columns
+from gridseries.operators.infinite import handle_infinite, infinite_columns, infinity_metrics
 from gridseries.operators.missing import fill_missing
 from gridseries.operators.ordered import BLOCK_ROWS
-from gridseries.operators.outliers import detect_outliers, treat_outliers
-from gridseries.operators.profile import describe, duplicate_profile, infinity_profile, missing_profile, validation_report
+from gridseries.operators.outliers import QUARTILES, detect_outliers, measured_columns, treat_outliers
+from gridseries.operators.profile import describe, quality_profile, validation_report
+from gridseries.operators.quantiles import brackets
 from gridseries.operators.scaling import scale_features
 from gridseries.operators.standardize import standardize_format
 from gridseries.plans.artifacts import Fitted, save_artifacts
-from gridseries.session import materialize
+from gridseries.session import materialize, materialize_observed
 
 
 def profile(df: DataFrame) -> dict:
-    return {
-        "missing_values": {r["column"]: {"count": r["count"], "percent": r["percent"]}
-                           for r in missing_profile(df).collect()},
-        "inf_values": {r["column"]: r["count"] for r in infinity_profile(df).collect()},
-        "duplicates": duplicate_profile(df).first().asDict(),
-        "data_types": {f.name: f.dataType.simpleString() for f in df.schema},
-    }
+    return quality_profile(df) | {"data_types": {f.name: f.dataType.simpleString() for f in df.schema}}
 
 
 def clean(df: DataFrame, fitted: Fitted | None = None, scale_method: str = "standard",
@@ -36,6 +31,7 @@ def clean(df: DataFrame, fitted: Fitted | None = None, scale_method: str = "stan
     With ``fitted`` the stored encoder and scaler are applied. The table is written to the shared folder
     after standardizing, and before infinities are handled where there are any: the steps behind each
     read it several times, and from there a lost executor costs a scan instead of all windows before it.
+    What the next step asks of a stored table first is observed while it is written.
     """
     training = fitted is None
     result = Fitted() if training else Fitted(fitted.scaler, fitted.categories)
@@ -44,13 +40,16 @@ def clean(df: DataFrame, fitted: Fitted | None = None, scale_method: str = "stan
         report["quality"] = profile(df)
     finite = fill_missing(df, "smart", order_by, exact=exact, block_rows=block_rows)
     # Finite values interpolate to finite ones, so a table without infinities can skip the step.
-    if infinite_columns(df):
-        finite = handle_infinite(materialize(finite, "filled"), "replace", exact)
-    uniform = materialize(standardize_format(remove_duplicates(finite), null_token=null_token), "uniform")
+    if report["quality"]["inf_values"] if with_report else infinite_columns(df):
+        filled, seen = materialize_observed(finite, "filled", infinity_metrics(finite, "replace", exact))
+        finite = handle_infinite(filled, "replace", exact, seen)
+    uniform = standardize_format(remove_duplicates(finite), null_token=null_token)
+    treating = handle_outliers and training
+    frame, seen = materialize_observed(
+        uniform, "uniform", brackets(measured_columns(uniform), QUARTILES) if treating and exact else [])
 
-    frame = uniform
-    if handle_outliers and training:
-        found = detect_outliers(frame, "iqr", 3.0, exact=exact)
+    if treating:
+        found = detect_outliers(frame, "iqr", 3.0, exact=exact, seen=seen)
         report["outliers"] = {"method": "iqr", "threshold": 3.0, "columns": {
             o.column: {"count": o.count, "percent": o.percent, "lower_bound": o.lower, "upper_bound": o.upper}
             for o in found}}

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -59,6 +59,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_observed(df: DataFrame, name: str, metrics: list[Column]) -> tuple[DataFrame, dict]:
+    """``materialize`` that also gives named aggregates of the rows, taken while they are written: no scan of their own.
+
+    Spark adds the values of a writing task once, however often the task is repeated.
+    """
+    if not metrics:
+        return materialize(df, name), {}
+    seen = Observation()
+    return materialize(df.observe(seen, *metrics), name), seen.get
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete what this application has handed over between its steps; frames that read it can't be used any more."""
     for path in _scratch.pop(spark.sparkContext.applicationId, []):
