@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridseries.operators.baselines import lookup_baseline, monthly_normals, normals_by_month, normals_statistics
 from gridseries.operators.evaluate import overall_loss, regression_metrics
 from gridseries.operators.joins import missing_locations
-from gridseries.operators.profile import dataset_summary, describe
+from gridseries.operators.profile import column_table, dataset_summary, describe, describe_times
 from gridseries.plans.cleaning import clean
 from gridseries.plans.master import master_dataset
 from gridseries.plans.scenario import assert_ranges, expand_months, predicted_values, prediction_records, scenario_features
@@ -75,7 +75,10 @@ def clean_table(spark: SparkSession, input_path: str, output_path: str | None =
     target = output_path or tables.cleaned_path(input_path)
     tables.write_table(cleaned, target)
     stored = tables.read_table(spark, target, cleaned.schema)
-    tables.write_csv(describe(stored), f"{target.removesuffix('.csv')}_summary.csv")
+    base = target.removesuffix(".csv")
+    tables.write_csv(column_table(stored), f"{base}_columns.csv")
+    tables.write_csv(describe(stored), f"{base}_summary.csv")
+    tables.write_csv(describe_times(stored), f"{base}_times.csv")
     return stored
 
 

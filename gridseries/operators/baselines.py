@@ -10,6 +10,7 @@ from gridseries.operators.nearest import nearest_baseline
 from gridseries.schemas import require_columns
 
 KEYS = ["lat_rounded", "lon_rounded", "month"]
+MEASURES = ["T2M", "PRECTOTCORR"]
 
 
 def monthly_normals(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
@@ -17,6 +18,11 @@ def monthly_normals(df: DataFrame, order_by: list[str] | None = None) -> DataFra
 
     The unrounded coordinates of the first row in ``order_by`` order (time by default) are kept.
     """
+    return normals_of(normal_states(df, order_by))
+
+
+def normal_states(df: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """Sums, counts and first order value by exact place and month: what normals are made of, and what adds up."""
     if "month" not in df.columns and "time" in df.columns:
         df = df.withColumn("month", F.month("time"))
     require_columns(df.columns, ["latitude", "longitude", "month", "T2M", "PRECTOTCORR"])
@@ -25,16 +31,27 @@ def monthly_normals(df: DataFrame, order_by: list[str] | None = None) -> DataFra
     # By exact place first: sums, counts and one order column stay in hash tables there, and choosing
     # the first place then works on the few places that share a rounded one.
     first_seen = [F.min(F.struct(*order) if len(order) > 1 else order[0]).alias("_seen")] if order else []
-    places = keyed.groupBy(*KEYS, "latitude", "longitude").agg(
-        *[f(c).alias(f"_{n}_{c}") for c in ("T2M", "PRECTOTCORR") for n, f in (("sum", F.sum), ("count", F.count))],
+    return keyed.groupBy(*KEYS, "latitude", "longitude").agg(
+        *[f(c).alias(f"_{n}_{c}") for c in MEASURES for n, f in (("sum", F.sum), ("count", F.count))],
         *first_seen)
-    first = F.struct(*(["_seen"] if order else []), "latitude", "longitude")
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state by exact place and month out of those of several tables."""
+    seen = [F.min("_seen").alias("_seen")] if "_seen" in states.columns else []
+    return states.groupBy(*KEYS, "latitude", "longitude").agg(
+        *[F.sum(f"_{n}_{c}").alias(f"_{n}_{c}") for c in MEASURES for n in ("sum", "count")], *seen)
+
+
+def normals_of(states: DataFrame) -> DataFrame:
+    """The normals of merged states."""
+    first = F.struct(*(["_seen"] if "_seen" in states.columns else []), "latitude", "longitude")
 
     def mean(c: str) -> Column:
         return F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_count_{c}"))
 
     return (
-        places.groupBy(*KEYS)
+        states.groupBy(*KEYS)
         .agg(mean("T2M").alias("baseline_temp"), mean("PRECTOTCORR").alias("baseline_precip"),
              F.min_by(F.struct("latitude", "longitude"), first).alias("_place"))
         .select(*KEYS, "baseline_temp", "baseline_precip", "_place.latitude", "_place.longitude")

@@ -37,11 +37,24 @@ def overall_loss(df: DataFrame, targets: list[str] = TARGETS) -> DataFrame:
     return df.agg(mse.alias("loss"), mae.alias("mae")).withColumn("rmse", F.sqrt("loss"))
 
 
-def error_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
-    """``bin, low, high, count`` for equal bins from minimum to maximum, the last one closed, empty ones kept."""
-    value = F.when(~F.isnan(column), F.col(column))
-    row = df.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
-    low, high = row["low"], row["high"]
+def error_metrics(columns: list[str]) -> list[Column]:
+    """Range and mean of error columns, to be observed while predictions are saved or taken in one aggregate."""
+    return [f(_number(c)).alias(f"{name} of {c}") for c in columns
+            for name, f in (("low", F.min), ("high", F.max), ("mean", F.avg))]
+
+
+def _number(column: str) -> Column:
+    return F.when(~F.isnan(column), F.col(column))
+
+
+def error_histogram(df: DataFrame, column: str, bins: int = 50, seen=None) -> DataFrame:
+    """``bin, low, high, count`` for equal bins from minimum to maximum, the last one closed, empty ones kept.
+
+    ``seen`` holds the ``error_metrics`` of the rows where a pass has taken them; the histogram is then one scan.
+    """
+    value = _number(column)
+    row = seen or df.agg(*error_metrics([column])).first()
+    low, high = row[f"low of {column}"], row[f"high of {column}"]
     if low is None:
         low, high = 0.0, 1.0
     elif low == high:
@@ -68,7 +81,3 @@ def error_histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
         .select("bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"),
                 F.coalesce("_count", F.lit(0)).alias("count"))
     )
-
-
-def mean_error(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.agg(*[F.avg(c).alias(c) for c in columns])

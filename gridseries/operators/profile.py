@@ -13,6 +13,8 @@ from gridseries.schemas import numeric_columns, text_columns
 QUARTERS = [0.25, 0.5, 0.75]
 DESCRIPTION = ("`column` string, count bigint, mean double, std double, min double, "
                "p25 double, p50 double, p75 double, max double")
+TIMES = ("`column` string, count bigint, mean timestamp, min timestamp, p25 timestamp, p50 timestamp, "
+         "p75 timestamp, max timestamp")
 
 
 def is_missing(df: DataFrame, column: str) -> Column:
@@ -124,10 +126,19 @@ def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True
     return df.sparkSession.createDataFrame(rows, DESCRIPTION)
 
 
+def column_table(df: DataFrame) -> DataFrame:
+    """``position, column, type, rows, known``: the shape of a table, its columns, their types and filled rows."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(df.columns)]).first()
+    rows = [(i, f.name, f.dataType.simpleString(), row["rows"], row[f"n{i}"]) for i, f in enumerate(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "position int, `column` string, type string, rows bigint, known bigint")
+
+
 def describe_times(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """``column, count, mean, min, p25, p50, p75, max`` of the time columns, as instants."""
     chosen = columns or [
         f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    if not chosen:
+        return df.sparkSession.createDataFrame([], TIMES)
     micros = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in chosen])
     # A mean of doubles this large would be off by microseconds: whole numbers are added up and divided once.
     means = micros.agg(*[F.expr(f"sum(cast(`{c}` as decimal(38,0))) div count(`{c}`)").alias(c) for c in chosen]).first()

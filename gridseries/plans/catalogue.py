@@ -12,9 +12,9 @@ from gridseries.functions import columns as C
 from gridseries.operators import (
     anomalies as A, baselines as B, duplicates as D, encoding as E, evaluate as V, features as X, infinite as I,
     joins as J, missing as M, nearest as N, ordered as O, outliers as U, profile as P, scaling as S, standardize as Z)
-from gridseries.plans import artifacts, cleaning, master, scenario, scoring, views
+from gridseries.plans import artifacts, cleaning, master, normals as normal_store, scenario, scoring, views
 from gridseries.schemas import CONTINUOUS, FEATURES, PARAMETERS, TARGETS, TEMPERATURES
-from gridseries.session import materialize, scratch_path
+from gridseries.session import materialize, materialize_observed, scratch_path
 from gridseries.sources import grids, manifests, responses, tables
 from gridseries.streaming import landing, pieces
 
@@ -230,9 +230,13 @@ def master_table(spark, folder):
 # Baselines
 
 
-def _normals(spark, folder) -> DataFrame:
+def _located(spark, folder) -> DataFrame:
     places = views.locations(spark, folder).select("location_id", "latitude", "longitude")
-    return B.monthly_normals(J.lookup_join(views.series(spark, folder), places, ["location_id"]))
+    return J.lookup_join(views.series(spark, folder), places, ["location_id"])
+
+
+def _normals(spark, folder) -> DataFrame:
+    return B.monthly_normals(_located(spark, folder))
 
 
 @query
@@ -240,6 +244,18 @@ def baselines(spark, folder):
     return rounded(_normals(spark, folder), "baseline_temp", "baseline_precip")
 
 
+@query
+def baselines_landed(spark, folder):
+    """The same normals from states: two landings, the second twice."""
+    store = scratch_path(spark, "normals")
+    located = _located(spark, folder)
+    early = F.year("time") < 1996
+    normal_store.land_normals(located.where(early), store, "early")
+    for _ in range(2):
+        normal_store.land_normals(located.where(~early), store, "late")
+    return rounded(normal_store.stored_normals(spark, store), "baseline_temp", "baseline_precip")
+
+
 @query
 def baseline_keys(spark, folder):
     return rounded(tables.keyed_baselines(_normals(spark, folder)), "temperature", "precipitation")
@@ -296,6 +312,11 @@ def inf_profile(spark, folder):
     return P.infinity_profile(views.dirty(spark, folder)).drop("position")
 
 
+@query
+def column_table(spark, folder):
+    return P.column_table(views.dirty(spark, folder))
+
+
 @query
 def dup_profile(spark, folder):
     return rounded(P.duplicate_profile(views.dirty(spark, folder)), "percent")
@@ -726,6 +747,17 @@ def error_histogram(spark, folder):
     return rounded(V.error_histogram(errors, "error"), "low", "high")
 
 
+@query
+def error_histogram_saved(spark, folder):
+    """Both errors of stored predictions, their ranges and means observed while they are written."""
+    columns = [f"{t}_error" for t in ("T2M", "PRECTOTCORR")]
+    errors = rounded(_judged(spark, folder), *columns)
+    saved, seen = materialize_observed(errors, "predictions", V.error_metrics(columns))
+    found = [V.error_histogram(saved, c, seen=seen).withColumns(
+        {"column": F.lit(c), "mean_error": F.lit(seen[f"mean of {c}"])}) for c in columns]
+    return rounded(found[0].unionByName(found[1]), "low", "high", "mean_error")
+
+
 @query
 def last_three(spark, folder):
     result = scoring.latest_rows(_scored(spark, folder), ["location_id"], ["date"], 3)

@@ -285,6 +285,10 @@ _add("baselines", "series locations normals", f"""
 select * replace ({r('baseline_temp')} as baseline_temp, {r('baseline_precip')} as baseline_precip) from normals
 """)
 
+_add("baselines_landed", "series locations normals", f"""
+select * replace ({r('baseline_temp')} as baseline_temp, {r('baseline_precip')} as baseline_precip) from normals
+""")
+
 _add("baseline_keys", "series locations normals", f"""
 select printf('%.2f,%.2f,%d', lat_rounded, lon_rounded, month) as key, {r('baseline_temp')} as temperature,
   {r('baseline_precip')} as precipitation, latitude, longitude from normals
@@ -366,6 +370,12 @@ _add("inf_profile", "unique_dirty dirty", " union all ".join(
     f"select '{c}' as \"column\", count(*) as count from dirty where isinf({c}) having count(*) > 0"
     for c in ("T2M", "RH2M", "PRECTOTCORR")))
 
+_add("column_table", "unique_dirty dirty", " union all ".join(
+    f"select {i}::INTEGER as position, '{c}' as column, '{kind}' as type, count(*) as rows, count({c}) as known from dirty"
+    for i, (c, kind) in enumerate([
+        ("event_id", "bigint"), ("location_id", "bigint"), ("time", "timestamp"), ("T2M", "double"), ("RH2M", "double"),
+        ("PRECTOTCORR", "double"), ("season", "string")])))
+
 _add("dup_profile", "unique_dirty dirty", f"""
 select (n - d) as count, {r('(n - d) / n::DOUBLE * 100')} as percent
 from (select (select count(*) from dirty) as n, (select count(*) from (select distinct * from dirty)) as d)
@@ -845,6 +855,19 @@ select bin, {r('any_value(low)')} as low, {r('any_value(high)')} as high, count(
 from edges left join errors on e >= low and (e < high or (closed and e <= high)) group by bin
 """)
 
+_add("error_histogram_saved", "series", f"""
+with {_JUDGED},
+errors as (select unnest(['T2M_error', 'PRECTOTCORR_error']) as "column",
+  unnest([{r('T2M_anom - T2M_p')}, {r('PRECTOTCORR_anom - PRECTOTCORR_p')}]) as e from judged),
+span as (select "column", min(e) as lo, max(e) as hi, (max(e) - min(e)) / 50 as step, avg(e) as mean from errors group by "column"),
+edges as (select "column", mean, i::INTEGER as bin, i * step + lo as low,
+  case when i = 49 then hi else (i + 1) * step + lo end as high, i = 49 as closed from span, range(50) b(i))
+select edges."column", bin, {r('any_value(low)')} as low, {r('any_value(high)')} as high, count(e) as count,
+  {r('any_value(mean)')} as mean_error
+from edges left join errors on errors."column" = edges."column" and e >= low and (e < high or (closed and e <= high))
+group by edges."column", bin
+""")
+
 _STREAM = f"""
 with stream_rows as (select *, year(time)::VARCHAR as request from series),
 scored as (select location_id, request, strftime(time, '%Y-%m') as date,
