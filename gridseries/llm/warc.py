@@ -24,12 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARCHIVE_BYTES = 8 << 20
+ARCHIVE_BYTES = 32 << 20
 DATE = "20240101000000"
 V1 = "URL IP-address Archive-date Content-type Archive-length"
 V2 = "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"
 FIELDS = {"1": V1.split(), "2": V2.split()}
-PIECE = "archive string, seq long, piece binary"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -48,29 +47,32 @@ def one_field(text: str | None) -> str:
 
 
 def _pack(rows: DataFrame, path: str, first_piece, piece_of, line_end: str) -> None:
-    """Write pieces of bytes as files of about ARCHIVE_BYTES, each begun by ``first_piece``."""
+    """Write pieces of bytes as files of about ARCHIVE_BYTES in one folder, each begun by ``first_piece``.
+
+    A row is a whole archive and a file holds one row, so tasks neither sort their pieces nor open a folder for each file.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number, seq, room, out, held = TaskContext.get().partitionId(), -1, 0, 0, [], 0
+        part, number, room, held = TaskContext.get().partitionId(), 0, 0, []
+
+        def closed() -> pd.DataFrame:
+            return pd.DataFrame({"archive": [line_end.encode().join(held)]})
+
         for batch in batches:
             for row in batch.itertuples(index=False):
                 piece = piece_of(row)
-                if number < 0 or room < len(piece):
-                    number, room = number + 1, ARCHIVE_BYTES
-                    name = f"{part:06d}-{number:06d}"
-                    out.append((name, seq, first_piece(name, number)))
-                    seq += 1
+                if held and room < len(piece):
+                    yield closed()
+                    held, number = [], number + 1
+                if not held:
+                    room = ARCHIVE_BYTES
+                    held.append(first_piece(f"{part:06d}-{number:06d}", number))
                 room -= len(piece)
-                out.append((name, seq, piece))
-                seq, held = seq + 1, held + len(piece)
-                if held > ARCHIVE_BYTES:
-                    yield pd.DataFrame(out, columns=["archive", "seq", "piece"])
-                    out, held = [], 0
-        if out:
-            yield pd.DataFrame(out, columns=["archive", "seq", "piece"])
+                held.append(piece)
+        if held:
+            yield closed()
 
-    pieces = rows.mapInPandas(run, PIECE).sortWithinPartitions("archive", "seq")
-    pieces.select(F.col("piece").cast("string").alias("value"), "archive").write.option("lineSep", line_end).option(
-        "compression", "gzip").partitionBy("archive").text(path)
+    whole = rows.mapInPandas(run, "archive binary").select(F.col("archive").cast("string").alias("value"))
+    whole.write.option("lineSep", line_end).option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
 
 
 def arc_version_block(name: str, version: str) -> bytes:
@@ -158,7 +160,7 @@ def read_arcs(spark: SparkSession, path: str) -> DataFrame:
         columns = [c.split()[0] for c in RECORD.split(", ")]
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"], strict=True):
-                short = "/".join(name.split("/")[-2:])
+                short = name.rsplit("/", 1)[-1]
                 out = []
                 for offset, fields, block in parse_arc(gzip.decompress(content)):
                     head, payload = http_parts(block)
