@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ARCHIVE_BYTES = 32 << 20
+ARCHIVE_BYTES = 8 << 20
 # A few percent more bytes than the default level for much less time; compressing is most of what the conversion costs.
 GZIP_LEVEL = {"zlib.compress.level": "FOUR"}
 DATE = "20240101000000"
@@ -57,14 +57,16 @@ def _pack(rows: DataFrame, path: str, first_piece, piece_of, line_end: str) -> N
         part, number, room, held = TaskContext.get().partitionId(), 0, 0, []
 
         def closed() -> pd.DataFrame:
-            return pd.DataFrame({"archive": [line_end.encode().join(held)]})
+            found = pd.DataFrame({"archive": [line_end.encode().join(held)]})
+            held.clear()
+            return found
 
         for batch in batches:
             for row in batch.itertuples(index=False):
                 piece = piece_of(row)
                 if held and room < len(piece):
                     yield closed()
-                    held, number = [], number + 1
+                    number += 1
                 if not held:
                     room = ARCHIVE_BYTES
                     held.append(first_piece(f"{part:06d}-{number:06d}", number))
