@@ -171,6 +171,29 @@ def test_pairs_within_a_large_group_of_near_copies_are_found(spark):
     assert grouped(spark, texts) == {i: i for i in range(2000)} | {2000 + k: a for k, a in enumerate(planted)}
 
 
+def test_large_meetings_are_linked_by_ball_hashing(spark):
+    """Codes one bit from a center: all meet there, far more than give all their pairs."""
+    rows = [(0, 0x5A5A5A5A ^ 1 << i % 32, i) for i in range(200)]
+    met = simhash.ball_pairs(spark.createDataFrame(rows, "family int, code long, node long"), 200, 32, 1,
+                             crowd=simhash.CROWD, least_parts=1)
+    found = [(r["a"], r["b"]) for r in met.collect()]
+    sets = Sets()
+    for a, b in found:
+        sets.join(a, b)
+    assert {sets.root(i) for i in range(200)} == {0} and len(found) < 2 * 200
+    assert sum(a == b for a, b in found) == 200
+
+
+def test_near_copies_of_a_large_meeting_need_no_prefix_filter(spark, monkeypatch):
+    """The rest that the prefix filter compares is left out here: the links of ball hashing alone make the group."""
+    prefixes = simhash._prefixes
+    monkeypatch.setattr(simhash, "_prefixes", lambda sets, similarity: prefixes(sets, similarity).limit(0))
+    words = item(4000, "t").split()
+    texts = [" ".join([*words[:k], f"own{k}", *words[k + 1:]]) for k in range(0, 600, 10)]
+    assert similarity(texts[0], texts[30]) > 0.99
+    assert grouped(spark, texts) == dict.fromkeys(range(60), 0)
+
+
 def test_plan_grows_with_the_table():
     small, large = simhash.plan(1000), simhash.plan(10**9)
     assert small.bits == 32 and large.bits == 44 and large.families > small.families
