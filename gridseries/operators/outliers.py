@@ -105,12 +105,18 @@ def flag_outliers(df: DataFrame, found: list[Outliers]) -> DataFrame:
 
 def treat_outliers(df: DataFrame, method: str = "clip", found: list[Outliers] | None = None,
                    detection_method: str = "iqr", threshold: float = 3.0, exact: bool = True,
-                   reference_compat: bool = True) -> DataFrame:
-    """Clip to the bounds, remove rows beyond them (NULLs too), winsorize 5 % per tail, or add logs."""
+                   reference_compat: bool = True, logged: list[str] | None = None) -> DataFrame:
+    """Clip to the bounds, remove rows beyond them (NULLs too), winsorize 5 % per tail, or add logs.
+
+    Logs are added to found columns whose values are all above zero. ``logged`` names columns that get theirs whatever they
+    hold: NULL where a value is missing, or -1 or less.
+    """
     if method not in TREATMENTS:
         raise ValueError(f"unknown method: {method}")
     if found is None:
         found = detect_outliers(df, detection_method, threshold, None, exact, reference_compat)
+    if method == "log_transform":
+        return _with_logs(df, [o.column for o in found], logged or [])
     if not found:
         return df
     usable = [o for o in found if o.bounded]
@@ -119,13 +125,17 @@ def treat_outliers(df: DataFrame, method: str = "clip", found: list[Outliers] |
     if method == "remove":
         inside = [(F.col(o.column) >= o.lower) & (F.col(o.column) <= o.upper) for o in usable]
         return df.where(reduce(lambda a, b: a & b, inside)) if usable else df
-    columns = [o.column for o in found]
-    if method == "winsorize":
-        return winsorize(df, columns)
-    row = df.agg(*[F.every(F.coalesce(F.col(c) > 0, F.lit(False))).alias(f"a{i}")
-                   for i, c in enumerate(columns)]).first()
-    positive = [c for i, c in enumerate(columns) if row[f"a{i}"]]
-    return df.withColumns({f"{c}_log": F.log1p(c) for c in positive}) if positive else df
+    return winsorize(df, [o.column for o in found])
+
+
+def _with_logs(df: DataFrame, columns: list[str], always: list[str]) -> DataFrame:
+    chosen = set(always)
+    if asked := [c for c in columns if c not in chosen]:
+        row = df.agg(*[F.every(F.coalesce(F.col(c) > 0, F.lit(False))).alias(f"a{i}")
+                       for i, c in enumerate(asked)]).first()
+        chosen |= {c for i, c in enumerate(asked) if row[f"a{i}"]}
+    logs = {f"{c}_log": F.log1p(c) for c in dict.fromkeys([*columns, *always]) if c in chosen}
+    return df.withColumns(logs) if logs else df
 
 
 def winsorize(df: DataFrame, columns: list[str], tail: float = TAIL, **selection) -> DataFrame:

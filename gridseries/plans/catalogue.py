@@ -500,7 +500,8 @@ def treat_winsorize(spark, folder):
 @query
 def treat_log(spark, folder):
     frame = views.unique_dirty(spark, folder).select("event_id", *_CHECKED)
-    result = U.treat_outliers(frame, "log_transform", U.detect_outliers(frame, "iqr", 1.5, _CHECKED))
+    found = U.detect_outliers(frame, "iqr", 1.5, _CHECKED)
+    result = U.treat_outliers(frame, "log_transform", found, logged=["PRECTOTCORR"])
     return rounded(result, "PRECTOTCORR_log")
 
 

@@ -13,7 +13,7 @@ from gridseries.functions.columns import half_even, nan_to_null
 from gridseries.operators import duplicates, encoding, infinite, missing, outliers, profile, scaling, standardize
 from gridseries.operators.anomalies import anomalies
 from gridseries.operators.features import complete_rows, lag_features
-from gridseries.plans import artifacts, cleaning
+from gridseries.plans import artifacts, catalogue, cleaning
 from gridseries.plans.master import master_dataset
 
 
@@ -127,6 +127,30 @@ def test_outliers(spark):
         outliers.detect_outliers(table, "mad")
 
 
+def test_named_columns_get_their_logs_whatever_they_hold(spark):
+    values = [0.0, None, -0.5, -1.0, -2.0, *map(float, range(1, 20)), 500.0]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, y double")
+    for found in ([], outliers.detect_outliers(table, "iqr", 3.0, ["y"])):
+        treated = outliers.treat_outliers(table, "log_transform", found, logged=["y"])
+        assert treated.columns == ["i", "y", "y_log"]
+        assert column(treated, "y_log")[:5] == [0.0, None, pytest.approx(np.log(0.5)), None, None]
+        assert column(treated, "y_log")[5:] == pytest.approx(np.log1p(values[5:]))
+
+
+@pytest.mark.parametrize("values", [[0.0, *[float(v % 9) for v in range(1, 200)], 1000.0], [None, 0.0, 2.0], [5.0] * 30])
+def test_log_query_gives_its_column_for_any_values(spark, tmp_path, values):
+    """Zeros, gaps or a column without outliers once left out the column that the query rounds."""
+    start = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(i, start, i % 3, "view", v) for i, v in enumerate(values)],
+                          "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(
+        str(tmp_path / "events.parquet"))
+    got = {r["event_id"]: r for r in catalogue.treat_log(spark, str(tmp_path)).collect()}
+    assert len(got) == len(values)
+    for i, v in enumerate(values):
+        assert got[i]["PRECTOTCORR"] == v
+        assert got[i]["PRECTOTCORR_log"] == (None if v is None else pytest.approx(np.log1p(v), abs=1e-6))
+
+
 def test_zscore_of_constant_column_finds_nothing(spark):
     table = spark.createDataFrame([(1.0,), (1.0,)], "y double")
     assert outliers.detect_outliers(table, "zscore") == []
