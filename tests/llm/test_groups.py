@@ -1,6 +1,7 @@
 """SimHash groups, components and decontamination against plain versions, and awkward rows."""
 
 import collections
+import math
 import random
 import re
 
@@ -82,6 +83,30 @@ def test_a_large_group_makes_few_links(spark):
     assert components(links).filter("root = 0").count() == len(codes) - 1
 
 
+@pytest.mark.parametrize("half", [1, 2])
+@pytest.mark.parametrize("power", [8, 11, 15])
+def test_a_code_goes_to_few_buckets_however_many_there_are(power, half):
+    """Before, radius 2 took a code to all of 256 buckets and to 1,300 of 2,048."""
+    flips = simhash.masks(64, half)
+    kinds = np.unique(simhash.parities(flips, power))
+    assert len(kinds) == sum(math.comb(power, k) for k in range(half + 1))
+    codes = np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64)
+    assert np.array_equal(simhash.parities(codes ^ flips[-1], power), simhash.parities(codes, power) ^ simhash.parities(flips[-1:], power))
+    assert np.bincount(simhash.parities(codes, 8), minlength=256).max() < 60
+
+
+def test_crowded_buckets_are_done_in_passes(spark, monkeypatch):
+    """A clump of codes fills its buckets far beyond their mean size; what is found is the same."""
+    rng, center = random.Random(5), random.Random(6).getrandbits(64)
+    codes = {center ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 9))) for _ in range(400)}
+    prints = dict(enumerate(sorted(codes)))
+    frame = stored(spark.createDataFrame([(i, c - (1 << 64) if c >> 63 else c) for i, c in prints.items()],
+                                         "doc_id long, fingerprint long"))
+    monkeypatch.setattr(simhash, "BUCKET_ENTRIES", 300)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.groups(frame).collect()}
+    assert got == plain_groups(prints) and len(set(got.values())) > 1
+
+
 def test_simhash_of_awkward_rows(spark):
     docs = documents(spark)
     prints = stored(simhash.fingerprints(docs))
