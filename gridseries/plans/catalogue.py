@@ -794,7 +794,9 @@ def score_stream(spark, folder):
 @query
 def score_pieces(spark, folder):
     """Lands every third month of each window in another file, and collects, closes and scores the windows as a stream."""
-    parsed = responses.parse_text(views.responses(spark, folder), "response")
+    parsed, seen = materialize_observed(responses.parse_text(views.responses(spark, folder), "response"), "windows",
+                                        [F.count(F.lit(1)).alias("windows")])
+    files = max(8, -(-seen["windows"] // 100_000))  # what one trigger takes, or larger files than that would be
     by_parameter = F.col("properties.parameter")
 
     def third(k: int):
@@ -807,7 +809,7 @@ def score_pieces(spark, folder):
     for k in range(3):
         landed = F.to_timestamp(F.lit(f"2024-01-01 0{k}:00:00"))
         parsed.select("location_id", "request", whole.alias("months"), landed.alias("landed_at"),
-                      third(k).alias("properties")).write.mode("append").json(inbox)
+                      third(k).alias("properties")).coalesce(files).write.mode("append").json(inbox)
     pieces.start_scoring_pieces(spark, inbox, sink, mark, scoring.damped_anomaly(), files_per_trigger=8).awaitTermination()
     return rounded(landing.read_scored(spark, sink).drop("batch_id"), *_SCORED)
 

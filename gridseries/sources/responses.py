@@ -44,6 +44,18 @@ def parse_text(responses: DataFrame, column: str) -> DataFrame:
     return responses.withColumn("properties", parsed["properties"]).drop(column)
 
 
+def periods_of(by_parameter: Column) -> Column:
+    """All periods that any parameter has, once each."""
+    return F.array_distinct(F.flatten(F.map_values(F.transform_values(by_parameter, lambda _, months: F.map_keys(months)))))
+
+
+def value_at(by_parameter: Column, parameter: str, period: Column, sentinel: float | None = None) -> Column:
+    found = F.try_element_at(F.try_element_at(by_parameter, F.lit(parameter)), period)
+    if sentinel is not None:
+        found = F.nullif(found, F.lit(float(sentinel)))
+    return F.when(~F.isnan(found), found)
+
+
 def unpivot(responses: DataFrame, parameters: list[str] = PARAMETERS,
             sentinel: float | None = None) -> DataFrame:
     """One row per period of each response; a response without parameters gives none.
@@ -51,18 +63,13 @@ def unpivot(responses: DataFrame, parameters: list[str] = PARAMETERS,
     ``sentinel`` turns the service's fill value into NULL; off by default.
     """
     by_parameter = F.col("properties.parameter")
-    periods = F.array_distinct(F.flatten(F.map_values(
-        F.transform_values(by_parameter, lambda _, months: F.map_keys(months)))))
     kept = [c for c in responses.columns if c != "properties"]
 
     def value(parameter: str) -> Column:
-        found = F.try_element_at(F.try_element_at(by_parameter, F.lit(parameter)), F.col("period"))
-        if sentinel is not None:
-            found = F.nullif(found, F.lit(float(sentinel)))
-        return F.when(~F.isnan(found), found).alias(parameter)
+        return value_at(by_parameter, parameter, F.col("period"), sentinel).alias(parameter)
 
     return (
-        responses.select(*kept, "properties", F.explode(periods).alias("period"))
+        responses.select(*kept, "properties", F.explode(periods_of(by_parameter)).alias("period"))
         .select(*kept, "period", *[value(p) for p in parameters])
     )
 

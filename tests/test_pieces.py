@@ -65,6 +65,32 @@ def test_split_landing_gives_the_rows_of_an_unsplit_one(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "split" / "warn")).where("temperature_anomaly <= 0.5").count() == 0
 
 
+def test_state_runs_once_per_window_and_batch(spark, tmp_path):
+    """Scoring reads the rows of a batch several times; the state's functions once ran again each time, on a row per month."""
+    inbox = Inbox(spark, tmp_path)
+    every = periods(12)
+    inbox.land(*[piece(i, every, 12, 0) for i in range(6)], piece(0, every[:3], 12, 0))
+    query = pieces.start_scoring_pieces(spark, str(inbox.folder / "inbox"), str(inbox.folder / "out"),
+                                        str(inbox.folder / "mark"), scoring.damped_anomaly())
+    query.awaitTermination()
+    assert spark.read.parquet(str(inbox.folder / "out")).count() == 72
+    assert sum(p["stateOperators"][0]["numRowsUpdated"] for p in map(lambda p: json.loads(p.json), query.recentProgress)) == 6
+    shuffled = pieces._months(pieces.read_pieces(spark, str(inbox.folder / "inbox")))
+    assert shuffled.isStreaming and "explode" not in shuffled._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_pieces_without_months_change_nothing(spark, tmp_path):
+    inbox = Inbox(spark, tmp_path)
+    every = periods(12)
+    empty = piece(1, [], 99, 0)
+    inbox.land(empty, empty | {"properties": None}, empty | {"properties": {"parameter": None}}, piece(1, ["202013"], 99, 0),
+               piece(1, every[:6] + ["202013"], 12, 1), piece(2, [], 0, 1))
+    assert inbox.run() == []
+    inbox.land(piece(1, every[6:], 12, 2))
+    rows = inbox.run()
+    assert [(r[0], r[2], r[3]) for r in rows] == [(1, True, f"2020-{m:02d}") for m in range(1, 13)]
+
+
 def test_late_windows_close_incomplete_and_state_goes(spark, tmp_path):
     inbox = Inbox(spark, tmp_path)
     every = periods(12)
