@@ -86,7 +86,7 @@ def test_a_large_group_makes_few_links(spark):
 @pytest.mark.parametrize("half", [1, 2])
 @pytest.mark.parametrize("power", [8, 11, 15])
 def test_a_code_goes_to_few_buckets_however_many_there_are(power, half):
-    """Before, radius 2 took a code to all of 256 buckets and to 1,300 of 2,048."""
+    """Before, radius 2 took a code to all of 256 buckets and to 1,323 of 2,048."""
     flips = simhash.masks(64, half)
     kinds = np.unique(simhash.parities(flips, power))
     assert len(kinds) == sum(math.comb(power, k) for k in range(half + 1))
